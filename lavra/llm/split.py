@@ -30,13 +30,13 @@ def boundaries(text: str) -> list[np.ndarray]:
     para, line, sentence, word = [], [], [], []
     for k, token in enumerate(tokens):
         if token[0].isspace():
-            breaks = token.count("\n") + token.count("\f") + token.count(" ")
+            breaks = token.count("\n") + token.count("\f") + token.count("\u2029")
             word.append(ends[k])
             if k and _SENTENCE_END.search(tokens[k - 1]):
                 sentence.append(ends[k])
             if breaks:
                 line.append(ends[k])
-            if breaks > 1 or "\f" in token or " " in token:
+            if breaks > 1 or "\f" in token or "\u2029" in token:
                 para.append(ends[k])
     return [np.asarray(x, np.int64) for x in (para, line, sentence, word)]
 
