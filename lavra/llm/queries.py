@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import bpe, common, leaks, lookalike, repetition, split
+from lavra.llm import bpe, common, encoding, leaks, lookalike, repetition, split
 from lavra.session import read_table
 
 
@@ -39,6 +39,19 @@ def p3_share(spark: SparkSession, base: str) -> DataFrame:
     return out.select("id", "n_words", "n_repeated", "repeated_share").distinct()
 
 
+def p4_repaired(spark: SparkSession, base: str) -> DataFrame:
+    values = encoding.fields_long(read_table(spark, base, "extraction_records"), "id", ["text_content", "filepath"])
+    return encoding.repair(values, "value", encoding.learn(values, "value"))
+
+
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    return p4_repaired(spark, base).where("damaged").select("id", "field_name").distinct()
+
+
+def p4_restored(spark: SparkSession, base: str) -> DataFrame:
+    return p4_repaired(spark, base).where("damaged").dropDuplicates(["id", "field_name"]).select("id", "field_name", "cipher", "restored", "unresolved")
+
+
 #: Folder of the public vocabulary files.
 TOKENIZERS = os.environ.get("LAVRA_TOKENIZERS", "/opt/tokenizers")
 
@@ -63,7 +76,7 @@ def p9_normalised(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, "documents").select("doc_id", lookalike.normalise(F.col("text")).alias("normal_text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_share": p3_share, "p7_ids": p7_ids, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_normalised": p9_normalised}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_share": p3_share, "p4_found": p4_found, "p4_restored": p4_restored, "p7_ids": p7_ids, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_normalised": p9_normalised}
 SQL = {
     "p1_found": "SELECT DISTINCT id FROM extraction_records WHERE id IS NOT NULL AND length(text_content) > 4000 AND regexp_matches(text_content, '[^\\s\\p{Z}]')",
 }
