@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import bpe, common, encoding, leaks, lookalike, repetition, split
+from lavra.llm import bpe, common, encoding, leaks, lookalike, repetition, scan_noise, split
 from lavra.session import read_table
 
 
@@ -52,6 +52,14 @@ def p4_restored(spark: SparkSession, base: str) -> DataFrame:
     return p4_repaired(spark, base).where("damaged").dropDuplicates(["id", "field_name"]).select("id", "field_name", "cipher", "restored", "unresolved")
 
 
+def p5_found(spark: SparkSession, base: str) -> DataFrame:
+    return scan_noise.Noise(_record_texts(spark, base), "id", "text_content").found()
+
+
+def p5_repaired(spark: SparkSession, base: str) -> DataFrame:
+    return scan_noise.repair(_record_texts(spark, base), "id", "text_content")
+
+
 #: Folder of the public vocabulary files.
 TOKENIZERS = os.environ.get("LAVRA_TOKENIZERS", "/opt/tokenizers")
 
@@ -76,7 +84,7 @@ def p9_normalised(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, "documents").select("doc_id", lookalike.normalise(F.col("text")).alias("normal_text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_share": p3_share, "p4_found": p4_found, "p4_restored": p4_restored, "p7_ids": p7_ids, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_normalised": p9_normalised}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_share": p3_share, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_repaired": p5_repaired, "p7_ids": p7_ids, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_normalised": p9_normalised}
 SQL = {
     "p1_found": "SELECT DISTINCT id FROM extraction_records WHERE id IS NOT NULL AND length(text_content) > 4000 AND regexp_matches(text_content, '[^\\s\\p{Z}]')",
 }
