@@ -33,7 +33,10 @@ class Maker:
         ws = self.words(5, 18)
         if self.r.random() < 0.3:
             ws.insert(self.r.randrange(len(ws)), self.r.choice(["R$ 1.234,56", "12/03/2011,", "nº 77/2012", "(item 3)", "d'Água", "–", "on-line", "A & B", "50 %"]))
-        return " ".join(ws).capitalize() + self.r.choice([".", ".", ".", ";", ""])
+        s = " ".join(ws).capitalize() + self.r.choice([".", ".", ".", ";", ""])
+        if self.r.random() < 0.1:  # text in a wrong encoding holds many odd signs
+            s = s.encode("utf-8").decode(self.r.choice(["latin-1", "cp850", "cp1250", "mac_roman", "ascii"]), errors="replace")
+        return s
 
     def decoy(self) -> str:
         n = self.r.randint(1, 99)
