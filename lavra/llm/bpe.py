@@ -94,7 +94,7 @@ class Replay:
                 left = before[p]
                 if left >= 0 and sym[left] >= 0:
                     enter(left, p)
-        bounds = [*starts[1:], n]
+        bounds = [*starts, n][1:]
         return [[s for s in sym[a:b] if s >= 0] for a, b in zip(starts, bounds, strict=True)]
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:

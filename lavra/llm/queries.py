@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import bpe, common, encoding, leaks, lookalike, markup, repetition, scan_noise, split
+from lavra.llm import bpe, common, encoding, leaks, lookalike, markup, markup_clean, repetition, scan_noise, split
 from lavra.session import read_table
 
 
@@ -64,6 +64,11 @@ def p6_found(spark: SparkSession, base: str) -> DataFrame:
     return markup.find(_record_texts(spark, base), "text_content").select("id", F.explode("markup").alias("markup")).distinct()
 
 
+def p6_clean(spark: SparkSession, base: str) -> DataFrame:
+    out = markup_clean.convert(_record_texts(spark, base), "text_content").where(F.size("markup") > 0)
+    return _one_per_id(out)
+
+
 #: Folder of the public vocabulary files.
 TOKENIZERS = os.environ.get("LAVRA_TOKENIZERS", "/opt/tokenizers")
 
@@ -88,7 +93,7 @@ def p9_normalised(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, "documents").select("doc_id", lookalike.normalise(F.col("text")).alias("normal_text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_share": p3_share, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p7_ids": p7_ids, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_normalised": p9_normalised}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_share": p3_share, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p6_clean": p6_clean, "p7_ids": p7_ids, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_normalised": p9_normalised}
 SQL = {
     "p1_found": "SELECT DISTINCT id FROM extraction_records WHERE id IS NOT NULL AND length(text_content) > 4000 AND regexp_matches(text_content, '[^\\s\\p{Z}]')",
 }
