@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import bpe, common, encoding, leaks, lookalike, markup, markup_clean, repetition, scan_noise, split
+from lavra.llm import bpe, common, encoding, leaks, lookalike, markup, markup_clean, oracles, repetition, scan_noise, split
 from lavra.session import read_table
 
 
@@ -94,6 +94,4 @@ def p9_normalised(spark: SparkSession, base: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_share": p3_share, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p6_clean": p6_clean, "p7_ids": p7_ids, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_normalised": p9_normalised}
-SQL = {
-    "p1_found": "SELECT DISTINCT id FROM extraction_records WHERE id IS NOT NULL AND length(text_content) > 4000 AND regexp_matches(text_content, '[^\\s\\p{Z}]')",
-}
+SQL = oracles.SQL
