@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +31,17 @@ def cut(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per context, so that their Python need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lavra_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="lavra-package-"), "lavra_package.zip")  # read by the driver's file server
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, Path("lavra", p.relative_to(root)).as_posix())
+    sc.addPyFile(str(target))
+    sc._lavra_shipped = True
