@@ -17,7 +17,7 @@ def _looks(text: str) -> str:
     gone = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in IGNORABLE) + "]"
     table = {**_WIDE, **LOOKALIKES, **MARKS, **{c: " " for c in SPACES}}
     mapped = f"translate(regexp_replace({text}, '{gone}', '', 'g'), {_quoted(''.join(table))}, {_quoted(''.join(table.values()))})"
-    for ligature, letters in (("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬀ", "ff")):
+    for ligature, letters in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st")):
         mapped = f"replace({mapped}, '{ligature}', '{letters}')"
     return f"trim(regexp_replace(nfc_normalize({mapped}), ' +', ' ', 'g'))"
 
