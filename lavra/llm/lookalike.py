@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lavra.session import cut
+
 #: Cyrillic and Greek letters drawn like Latin ones, in code point order of the left side.
 LOOKALIKES = {
     "Ϲ": "C", "ϲ": "c", "ϳ": "j", "Ϳ": "J",
@@ -127,7 +129,7 @@ def groups(df: DataFrame, key: str, text: str) -> DataFrame:
     Candidates share the normal form; the exact check is the visible form. The count of different texts per
     group is partially aggregated before the shuffle, and only digests are shuffled.
     """
-    rows = forms(df, key, text)
+    rows = cut(forms(df, key, text))  # digests alone, read three times; the texts are normalised once
     several = rows.groupBy("same", "look").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("same", "look")
     return rows.join(several, ["same", "look"], "left_semi")
 
