@@ -199,14 +199,15 @@ def _evidence(shared):
 class Noise:
     """Evidence of a corpus: ``rows`` (key, kind, item, other), ``fixes`` (word, target), ``words`` (word, n)."""
 
-    def __init__(self, df: DataFrame, key: str, text: str, ratio: int = 20, known_words: int = 20_000):
+    def __init__(self, df: DataFrame, key: str, text: str, ratio: int = 20, known_share: float = 5e-6):
         spark = df.sparkSession
         self.key = key
         self.words = cut(lexicon(df, text))
         self.fixes = cut(corrections(self.words, ratio))
-        # The commonest words without a correction are skipped where they stand. This only saves rows: a word
-        # without a correction is no evidence, so the list's length changes no result.
-        common = self.words.join(self.fixes, "word", "left_anti").orderBy(F.desc("n"), "word").limit(known_words).select("word")
+        # Common words without a correction are skipped where they stand. This only saves rows: a word without a
+        # correction is no evidence, so the share changes no result. There are at most 1 / known_share of them.
+        total = self.words.agg(F.sum("n")).first()[0] or 0
+        common = self.words.where(F.col("n") >= max(1.0, total * known_share)).join(self.fixes, "word", "left_anti").select("word")
         shared = spark.sparkContext.broadcast(frozenset(r.word for r in common.collect()))
         self.rows = cut(df.select(key, F.explode(_evidence(shared)(F.col(text))).alias("_e")).select(key, "_e.*").distinct())
 
