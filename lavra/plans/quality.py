@@ -14,7 +14,7 @@ def _records(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _load():
-    return F.to_date("created_at")
+    return F.to_date(F.to_utc_timestamp("created_at", F.current_timezone()))  # the UTC day in any session zone
 
 
 def p2_found(spark: SparkSession, base: str) -> DataFrame:
