@@ -228,9 +228,36 @@ def kinds_of(text: str, probability: np.ndarray, threshold: float) -> set[str]:
     return out
 
 
-def _label(texts: list[str], labeller: Labeller, threshold: float) -> list[list[str]]:
-    found = labeller.scores([leaves(t) for t in texts])
-    return [sorted(kinds_of(t, p, threshold)) for t, (p, _) in zip(texts, found, strict=True)]
+def windows(text: str, size: int = 20_000, margin: int = 200) -> list[tuple[int, int, str]]:
+    """(first own line, lines before it, lines) of parts that bound the memory of very long texts.
+
+    Ordinary texts are one part. Parts overlap by ``margin`` lines on both sides, which serve as context.
+    """
+    if text.count("\n") < size + margin:
+        return [(0, 0, text)]
+    lines = text.split("\n")
+    return [(a, a - max(0, a - margin), "\n".join(lines[max(0, a - margin) : a + size + margin])) for a in range(0, len(lines), size)]
+
+
+def labelled(texts: list[str], labeller: Labeller, threshold: float, leaves_at_once: int = 40_000) -> Iterator[tuple[set[str], np.ndarray]]:
+    """(kinds, role of every line) of each text; some ten thousand leaves are in memory at a time."""
+    parts = [(k, own, before, part) for k, t in enumerate(texts) for own, before, part in windows(t)]
+    # Own lines of the parts that another part of the same text follows.
+    following = {(x[0], x[1]): y[1] - x[1] for x, y in zip(parts, parts[1:], strict=False) if x[0] == y[0]}
+    kinds: list[set[str]] = [set() for _ in texts]
+    roles: list[list[np.ndarray]] = [[] for _ in texts]
+    a = 0
+    while a < len(parts):
+        b, n = a, 0
+        while b < len(parts) and (b == a or n + parts[b][3].count("\n") < leaves_at_once):
+            n += parts[b][3].count("\n") + 1
+            b += 1
+        for (k, own, before, part), (p, r) in zip(parts[a:b], labeller.scores([leaves(x[3]) for x in parts[a:b]]), strict=True):
+            kinds[k] |= kinds_of(part, p, threshold)
+            end = before + following[k, own] if (k, own) in following else len(r)
+            roles[k].append(r[before:end].argmax(axis=1))
+        a = b
+    yield from ((found, np.concatenate(r)) for found, r in zip(kinds, roles, strict=True))
 
 
 def find(df: DataFrame, text: str, threshold: float = 0.02, weights: str = str(WEIGHTS)) -> DataFrame:
@@ -249,10 +276,8 @@ def find(df: DataFrame, text: str, threshold: float = 0.02, weights: str = str(W
             values = s.tolist()
             live = [k for k, t in enumerate(values) if t]
             out: list[list[str]] = [[] for _ in values]
-            for a in range(0, len(live), 512):
-                part = live[a : a + 512]
-                for k, kinds in zip(part, _label([values[k] for k in part], labeller, threshold), strict=True):
-                    out[k] = kinds
+            for k, (kinds, _) in zip(live, labelled([values[k] for k in live], labeller, threshold), strict=True):
+                out[k] = sorted(kinds)
             yield pd.Series(out, dtype=object)
 
     rest = [c for c in df.columns if c not in (text, "markup")]

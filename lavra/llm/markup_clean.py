@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lavra.llm import markup
-from lavra.llm.markup import KINDS, MAY_HOLD, ROLES, WEIGHTS, Labeller, kinds_of, leaves
+from lavra.llm.markup import MAY_HOLD, ROLES, WEIGHTS, Labeller, labelled
 
 #: LaTeX accents and the combining characters they stand for.
 ACCENTS = {"`": "̀", "'": "́", "^": "̂", "~": "̃", '"': "̈", "=": "̄", ".": "̇", "c": "̧"}
@@ -254,17 +253,12 @@ def convert(df: DataFrame, text: str, threshold: float = 0.02, weights: str = st
             values = s.tolist()
             out: list[tuple] = [([], None) for _ in values]
             live = [k for k, t in enumerate(values) if t]
-            for a in range(0, len(live), 512):
-                part = live[a : a + 512]
-                for k, (p, r) in zip(part, labeller.scores([leaves(values[k]) for k in part]), strict=True):
-                    kinds = kinds_of(values[k], p, threshold)
-                    if kinds:
-                        out[k] = (sorted(kinds), clean(values[k], kinds, [ROLES[x] for x in r.argmax(axis=1)]))
+            for k, (kinds, roles) in zip(live, labelled([values[k] for k in live], labeller, threshold), strict=True):
+                if kinds:
+                    out[k] = (sorted(kinds), clean(values[k], kinds, [ROLES[x] for x in roles]))
             yield pd.DataFrame(out, columns=["markup", "clean_text"])
 
     rest = [c for c in df.columns if c not in (text, "markup", "clean_text")]
     rows = df.select(*rest, F.col(text).alias("_t"), run(F.when(F.col(text).rlike(MAY_HOLD), F.col(text))).alias("_r"))
     return rows.select(*rest, F.col("_r.markup").alias("markup"), F.coalesce("_r.clean_text", "_t").alias("clean_text"))
 
-
-__all__ = ["KINDS", "clean", "convert", "from_html", "from_latex", "from_lines", "markup"]

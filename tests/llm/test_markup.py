@@ -21,9 +21,21 @@ def test_kinds(spark):
 
 
 def test_very_long_text(spark):
-    t = "Uma linha comum de texto.\n" * 20_000 + "com **marca** no fim"
+    t = "Uma linha comum de texto.\n" * 45_000 + "com **marca** no fim"
     df = spark.createDataFrame([(t,)], "t string")
     assert markup.find(df, "t").first().markup == ["markdown"]
+    assert markup_clean.convert(df, "t").first().clean_text == t.replace("**", "")
+
+
+def test_parts_of_a_long_text_cover_its_lines():
+    for n in (0, 20_199, 20_200, 20_201, 40_000, 40_001, 60_500):
+        text = "\n".join(str(k) for k in range(n + 1))
+        parts = markup.windows(text)
+        own = [x for own, before, part in parts for x in part.split("\n")[before : before + (20_000 if len(parts) > 1 else None or n + 1)]]
+        assert own == text.split("\n")
+    lab = markup.Labeller.load(str(markup.WEIGHTS))
+    texts = ["# T\n\nx", "a\n" * 25_000, "", "b **c**"]
+    assert [len(r) for _, r in markup.labelled(texts, lab, 0.02)] == [t.count("\n") + 1 for t in texts]
 
 
 def test_labeller_on_unseen_documents():
