@@ -44,24 +44,27 @@ def select_pages(pages: DataFrame, doc: str, number: str, wanted: list[int]) ->
     return pages.withColumn("position", (F.array_position(order, F.col(number)) - 1).cast("int")).where("position >= 0")
 
 
+# Headings and notices of audio and video documents.
+AUDIO_HEAD, VIDEO_HEAD, SPEECH_HEAD, FRAMES_HEAD, FRAME_HEAD = "# Transcrição de Áudio: ", "# Conteúdo do Vídeo: ", "## Transcrição de Áudio", "## Conteúdo Visual (Frames de Cena)", "### Frame "
+_SPEECH_ERROR = "_Erro na transcrição: "
 _NO_SPEECH = "_Nenhuma fala detectada._"
 _NO_SPEECH_VIDEO = "_Nenhuma fala detectada no vídeo._"
 
 
 def _speech(text: Column, error: Column, none: str) -> Column:
     said = strip(F.coalesce(text, F.lit("")))
-    return F.when(error.isNotNull(), F.concat(F.lit("_Erro na transcrição: "), error, F.lit("_"))).when(said == "", none).otherwise(said)
+    return F.when(error.isNotNull(), F.concat(F.lit(_SPEECH_ERROR), error, F.lit("_"))).when(said == "", none).otherwise(said)
 
 
 def audio_text(file_name: Column, text: Column, error: Column) -> Column:
     """Document of an audio file; a failed transcription becomes text, the record stays extracted."""
-    return F.concat_ws("\n\n", F.concat(F.lit("# Transcrição de Áudio: "), file_name, F.lit("\n")), _speech(text, error, _NO_SPEECH))
+    return F.concat_ws("\n\n", F.concat(F.lit(AUDIO_HEAD), file_name, F.lit("\n")), _speech(text, error, _NO_SPEECH))
 
 
 def video_text(file_name: Column, text: Column, error: Column, frames: Column) -> Column:
     """Document of a video: transcript, then the non-blank frames (array of frame, text) by number, at most 50."""
     live = F.filter(F.slice(F.sort_array(F.coalesce(frames, F.array().cast("array<struct<frame:int,text:string>>"))), 1, 50), lambda f: strip(F.coalesce(f["text"], F.lit(""))) != "")
-    sections = F.transform(live, lambda f: F.concat(F.lit("### Frame "), f["frame"].cast("string"), F.lit("\n\n\n"), strip(f["text"])))
-    visual = F.when(F.size(live) > 0, F.concat(F.lit("\n## Conteúdo Visual (Frames de Cena)\n\n\n"), F.array_join(sections, "\n\n")))
-    head = F.concat(F.lit("# Conteúdo do Vídeo: "), file_name, F.lit("\n"))
-    return F.concat_ws("\n\n", head, F.lit("## Transcrição de Áudio\n"), _speech(text, error, _NO_SPEECH_VIDEO), visual)
+    sections = F.transform(live, lambda f: F.concat(F.lit(FRAME_HEAD), f["frame"].cast("string"), F.lit("\n\n\n"), strip(f["text"])))
+    visual = F.when(F.size(live) > 0, F.concat(F.lit(f"\n{FRAMES_HEAD}\n\n\n"), F.array_join(sections, "\n\n")))
+    head = F.concat(F.lit(VIDEO_HEAD), file_name, F.lit("\n"))
+    return F.concat_ws("\n\n", head, F.lit(f"{SPEECH_HEAD}\n"), _speech(text, error, _NO_SPEECH_VIDEO), visual)

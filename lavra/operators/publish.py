@@ -13,6 +13,14 @@ from pyspark.sql import DataFrame
 TARGETS = {"docling": ("docling-1", "docling"), "deepseek": ("deepseek-ocr-2", None)}
 
 
+#: Tags of every release.
+TAGS = ("ocr", "pdf", "text-extraction")
+
+
+def _table(left: str, right: str, rows) -> list[str]:
+    return [f"| {left} | {right} |", "|---|---|", *[f"| {a} | {b} |" for a, b in rows]]
+
+
 def tag(version: str, branch: str | None) -> str:
     return f"v{version}" + (f"-{branch}" if branch else "")
 
@@ -20,13 +28,15 @@ def tag(version: str, branch: str | None) -> str:
 def card(name: str, pipeline: str, version: str, schema: DataFrame | None = None, history: list[str] = ()) -> str:
     """Markdown card with a YAML header; with the columns and earlier versions if given."""
     model, _ = TARGETS[pipeline]
-    head = ["---", "license: other", "tags:", *[f"  - {t}" for t in ("ocr", "pdf", "text-extraction", model)], f'version: "{version}"', "configs:", "  - config_name: default", "    data_files:", "      - split: train", '        path: "data/*.jsonl"', "---"]
-    body = ["", f"# {name}", "", f"Text extracted with {model}, joined with course metadata.", "", "| Field | Value |", "|---|---|", f"| Extraction model | `{model}` |", f"| Dataset version | `{version}` |", f"| Pipeline | {pipeline.capitalize()} |"]
+    header = {"license": "other", "tags": [*TAGS, model], "version": version, "configs": [{"config_name": "default", "data_files": [{"split": "train", "path": "data/*.jsonl"}]}]}
+    facts = {"Extraction model": model, "Dataset version": version, "Pipeline": pipeline.capitalize()}
+    # JSON is YAML, so the header needs no writer of its own.
+    body = ["---", *[f"{k}: {json.dumps(v, ensure_ascii=False)}" for k, v in header.items()], "---", "", f"# {name}", "", *_table("Field", "Value", facts.items())]
     if schema is not None:
-        body += ["", "## Columns", "", "| Column | Type |", "|---|---|", *[f"| {f.name} | {f.dataType.simpleString()} |" for f in schema.schema]]
+        body += ["", "## Columns", "", *_table("Column", "Type", ((f.name, f.dataType.simpleString()) for f in schema.schema))]
     if history:
         body += ["", "## Versions", "", *[f"- {v}" for v in history]]
-    return "\n".join([*head, *body, ""])
+    return "\n".join([*body, ""])
 
 
 def publish(source: str, target: str, name: str, pipeline: str, version: str, replace: bool = False) -> dict:

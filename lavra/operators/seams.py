@@ -85,20 +85,16 @@ def extract(extractors: Extractors, route: Column, content: Column, name: Column
     return run(route, content, name)
 
 
-@dataclass(frozen=True)
-class OcrRequest:
-    """A page request to a vision model. The sampling settings that keep it from looping."""
-
-    image: bytes
-    prompt: str = "<image>\n<|grounding|>Convert the document to markdown."
-    max_tokens: int = 4096
-    temperature: float = 0.0
-    repetition_penalty: float = 1.05
-    ngram_size: int = 30
-    window_size: int = 90
-
-    def image_url(self) -> str:
-        return "data:image/jpeg;base64," + base64.b64encode(self.image).decode("ascii")
+# What a vision model is asked for a page, and the sampling settings that keep it from looping.
+PAGE_PROMPT = "\n<|grounding|>Convert the document to markdown."
+SAMPLING = {"temperature": 0.0, "repetition_penalty": 1.05, "ngram_size": 30, "window_size": 90, "whitelist_token_ids": [128821, 128822], "skip_special_tokens": False}
+MAX_TOKENS = {"page": 4096, "image": 4096, "frame": 1024, "description": 512}
+
+
+def ocr_request(image: bytes, kind: str = "page", prompt: str = PAGE_PROMPT) -> dict:
+    """What to send to a vision model for one image, without naming a service."""
+    url = "data:image/png;base64," + base64.b64encode(image).decode("ascii")
+    return {"image_url": url, "prompt": prompt, "max_tokens": MAX_TOKENS[kind], **SAMPLING}
 
 
 def ocr_by_model(model: str, engines: dict[str, Callable[[bytes], str]], is_pdf: bool) -> Callable[[bytes], str]:

@@ -20,6 +20,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="lavra-checkpoint-"))
 
 

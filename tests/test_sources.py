@@ -135,7 +135,8 @@ def test_ocr_routing():
     with pytest.raises(ValueError):
         seams.ocr_by_model("tesseract", engines, is_pdf=True)
     assert seams.page_or_empty(lambda b: 1 / 0)(b"") == ("", True)
-    assert seams.OcrRequest(b"x").image_url() == "data:image/jpeg;base64,eA=="
+    asked = seams.ocr_request(b"x", "frame")
+    assert asked["image_url"] == "data:image/png;base64,eA==" and asked["max_tokens"] == 1024 and asked["temperature"] == 0
 
 
 def test_publishing(tmp_path):
