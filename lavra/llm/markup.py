@@ -33,7 +33,7 @@ HIDDEN = 24
 WEIGHTS = Path(__file__).with_name("markup_weights.npz")
 
 #: A text that holds markup of any kind matches this; most ordinary texts don't.
-MAY_HOLD = r"""(?m)<[!/a-zA-Z]|&(?:#|[a-zA-Z]{2,8};)|\*\*\S|__\S|\]\(|^#{1,6} \S|^(?:={3,}|-{3,})[ \t]*$|`|^> |^\|[ :-]+\||^={2,6}[^=]|''\S|\[\[|\{\{|\{\||\\[a-zA-Z(\[~'^"`]|\$[^\s\d$][^$\n]*\$|\*[^\s*][^*\n]*\*"""
+MAY_HOLD = r"""(?m)<[!/a-zA-Z]|&(?:#|[a-zA-Z][a-zA-Z0-9]{1,8};)|\*\*\S|__\S|\]\(|^#{1,6} \S|^(?:={3,}|-{3,})\s*$|`|~~|^>\s?\S|-{3,}:?\s*\||^={2,6}[^=]|''\S|\[\[|\{\{|\{\||^\|[-}]|\\[a-zA-Z(\[~'^"`=.]|\$[^\s$][^$\n]*\$|\*[^\s*][^*\n]*\*"""
 
 _TAGS = "html|head|body|title|style|script|meta|link|p|div|span|h[1-6]|b|i|u|s|em|strong|small|big|font|center|a|ul|ol|li|dl|dt|dd|table|thead|tbody|tfoot|tr|td|th|caption|br|hr|img|code|pre|kbd|samp|blockquote|sup|sub|form|input|button|nav|header|footer|section|article|main|figure|figcaption|iframe|label|option|select"
 _ELEMENT = re.compile(rf"<(/?)({_TAGS})(?:\s[^<>]*)?/?>", re.I)

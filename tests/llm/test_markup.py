@@ -1,5 +1,9 @@
+import re
+
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lavra.llm import markup, markup_clean, markup_training
@@ -20,6 +24,17 @@ def test_kinds(spark):
     assert markup.find(df.limit(0), "t").count() == 0
 
 
+_PIECES = ["<b>", "</p", "<!--", "&nbsp;", "&frac12;", "&#9;", "**", "__", "*", "_", "[", "](", ")", "#", "# ", "###### ", "=", "==", "===", "---", "-", "`", "```", "~~", ">", "|", "||", "{|", "|-", "|}", "'", "''", "[[", "]]", "{{", "}}", "\\", "\\emph{", "}", "{", "\\(", "\\'e", "\\=a", "$", "x_1", "^2", " ", "\n", "a", "Palavra", ":", "<nowiki"]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(_PIECES), max_size=9).map("".join))
+def test_the_filter_passes_whatever_the_checks_accept(text):
+    lines = text.split("\n")
+    if any(markup.holds(kind, lines, k) for kind in markup.KINDS for k in range(len(lines))):
+        assert re.search(markup.MAY_HOLD, text)
+
+
 def test_very_long_text(spark):
     t = "Uma linha comum de texto.\n" * 45_000 + "com **marca** no fim"
     df = spark.createDataFrame([(t,)], "t string")
