@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,6 +38,8 @@ LOST = "�"
 #: Code pages that texts of Western offices were written in, and that they were read in by mistake.
 WRITTEN = ("cp1252", "cp850", "cp437", "mac_roman")
 READ = ("cp1252", "latin-1", "cp850", "cp437", "mac_roman", "cp1250", "iso8859-2")
+#: Signs that scanning reads for letters; in text they are weaker evidence of a wrong encoding.
+MISREAD = str.maketrans({"ä": "ã", "ë": "é", "ö": "õ", "¢": "ç"})
 SMOOTH, SYMBOLS = 0.05, 300
 RESULT = T.StructType(
     [T.StructField("damaged", T.BooleanType()), T.StructField("cipher", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("restored", T.StringType()), T.StructField("unresolved", T.IntegerType())]
@@ -59,6 +62,11 @@ BYTES = {c: {ch: b for b, ch in page.items()} for c, page in PAGES.items()}
 ALPHABET = {ch for page in PAGES.values() for ch in page.values()} | {chr(k) for k in range(32, 127)} | {LOST, "^"}
 
 
+def _with_invisible_half(read: str) -> list[str]:
+    """Letters of two bytes in UTF-8, first C3, whose second byte shows as nothing or as a space in a code page."""
+    return [bytes([0xC3, b]).decode("utf-8") for b in range(0x80, 0xC0) if unicodedata.category(PAGES[read][b]) in ("Cf", "Cc", "Zs")]
+
+
 @dataclass(frozen=True)
 class Cipher:
     """Text of the encoding ``written`` read in the code page ``read``, ``times`` times over."""
@@ -164,6 +172,20 @@ class Model:
                 out[k] = max(self.letters, key=lambda x: (self.fit(before, x, after) if after else math.log(self.bigrams.get(before + x, 0.0) + SMOOTH), x))
         return "".join(out)
 
+    def halved(self, cipher: Cipher, left: str, run: str, right: str) -> str:
+        """The run with each first half of a two-byte letter, whose invisible second half was dropped, replaced by the
+        letter that its neighbours make likeliest; what fits as it is stays."""
+        if cipher.written != "utf-8":
+            return run
+        out, lead, letters = list(run), PAGES[cipher.read][0xC3], _with_invisible_half(cipher.read)
+        for k, ch in enumerate(run):
+            if ch == lead and letters:
+                before, after = out[k - 1] if k else left, run[k + 1] if k + 1 < len(run) else right
+                best = max(letters, key=lambda x: (self.fit(before, x, after), x))
+                if self.fit(before, best, after) > self.fit(before, ch, after) + 3:
+                    out[k] = best
+        return "".join(out)
+
     def gains(self, left: str, run: str, right: str) -> dict[int, tuple[float, str]]:
         """For each cipher that may have written the run: log-likelihood gained over the run as it is, and the letters."""
         got = self._memo.get((left, run, right))
@@ -278,8 +300,12 @@ def diagnose(model: Model, value: str) -> tuple[bool, str | None, float, str, in
     has_lost = any(LOST in run for _, run, _ in seen)
     evidence: Counter = Counter()
     best, clearest = -math.inf, None
+    scanned = "\n" in value  # paths are not scanned
     for (left, run, right), n in seen.items():
+        misread = run.translate(MISREAD) if scanned else run
+        slip = max(0.0, model.fit(left, misread, right) - model.fit(left, run, right)) if misread != run else 0.0
         for k, (gain, _) in model.gains(left, run, right).items():
+            gain -= slip
             evidence[k] += min(n, 3) * max(gain, -3.0)
             if (score := gain + model.prior(k)) > best:
                 best, clearest = score, k
@@ -288,6 +314,7 @@ def diagnose(model: Model, value: str) -> tuple[bool, str | None, float, str, in
     # Within the value: ciphers that its passages support become likely for its other passages too.
     share = {k: (math.log(0.5) if e + model.prior(k) > 5 else model.prior(k)) for k, e in evidence.items()}
     unresolved = 0
+    main = CIPHERS[max(share, key=share.get)] if share else None
 
     def one(m: re.Match) -> str:
         nonlocal unresolved
@@ -296,6 +323,8 @@ def diagnose(model: Model, value: str) -> tuple[bool, str | None, float, str, in
         for k, (gain, letters) in model.gains(left, run, right).items():
             if gain + share[k] > top:
                 plain, top = letters, gain + share[k]
+        if main is not None:
+            plain = model.halved(main, left, plain, right)
         if LOST in plain:
             unresolved += 0 if model.letters else plain.count(LOST)
             plain = model.lost(left, plain, right) if model.letters else plain

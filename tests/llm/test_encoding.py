@@ -46,6 +46,14 @@ def test_detection_and_restoration(spark, sample):
     assert out["n"].restored is None and not out["n"].damaged and out["e"].restored == ""
 
 
+def test_letters_whose_second_half_was_dropped(spark, sample):
+    model = encoding.learn(sample[2], "t")
+    bad = spoil("avaliação do município e do exercício", "utf-8", "cp1252").replace("\xad", "")
+    damaged, _, _, restored, _ = encoding.diagnose(model, bad)
+    assert damaged and restored == "avaliação do município e do exercício"
+    assert encoding.diagnose(model, "SÃO MANHÃ, avaliação do município")[0] is False
+
+
 def test_empty_corpus(spark, sample):
     df = sample[2].limit(0)
     model = encoding.learn(df, "t")
