@@ -6,10 +6,11 @@ corpus-wide counts. The cipher behind a run is hidden; expectation-maximisation
 
 - E: how likely each cipher (or none) wrote a run, from the language's letter bigrams around the deciphered
   letters and from how common the ciphers are;
-- M: the bigrams of undamaged text, the share of each cipher, and the letter behind U+FFFD, which lost it.
+- M: the bigrams of undamaged text, the share of damaged runs, and the share of each cipher.
 
-The tables start from the public code pages, and the bigrams from the runs made of the commonest letters
-only, so damaged text never vouches for itself. A value (one text or path) is its own source: the ciphers'
+The cipher tables are the public code pages, and the bigrams start from the runs made of the commonest letters
+only, less those that a cipher deciphers into letters commoner between the same neighbours: a source damaged in
+one way may hold any share of the rows below one half. After that no run is certain, each is weighed again. A value (one text or path) is its own source: the ciphers'
 shares are estimated again within each value before its passages are deciphered, so passages that are damaged
 in one way support each other.
 
@@ -199,8 +200,9 @@ class Model:
             self._memo[left, run, right] = got
         return got
 
-    def prior(self, k: int) -> float:
-        return math.log(self.damaged * self.shares[k] + 1e-12)
+    def prior(self, k: int, damaged: float = 0.01) -> float:
+        """Of a single run; a value is judged by the default, as most values of a much damaged corpus may be clean."""
+        return math.log(damaged * self.shares[k] + 1e-12)
 
 
 _PLAIN: dict[tuple[int, str], str | None] = {}
@@ -243,7 +245,7 @@ def _pairs(left: str, run: str, right: str) -> list[str]:
 
 
 def _seed(run: str, common: set[str]) -> bool:
-    """Runs of the commonest letters that no multi-byte cipher explains: certainly undamaged."""
+    """Runs of the commonest letters that no multi-byte cipher explains."""
     return all(ch in common for ch in run) and not any(CIPHERS[k].written == "utf-8" and (p := _deciphered(k, run)) is not None and len(p) < len(run) for k in range(len(CIPHERS)))
 
 
@@ -260,28 +262,33 @@ def learn(values: DataFrame, value: str, iterations: int = 3, common_share: floa
     common = {ch for ch, n in totals.items() if n >= common_share * size and ch != LOST}
     letters = tuple(sorted(common))
     model = None
-    for _ in range(iterations + 1):
-        rows = table.mapInPandas(_expect(model, common), "kind string, item string, weight double").groupBy("kind", "item").agg(F.sum("weight").alias("weight")).collect()
+    for step in range(-4, iterations):  # four passes of the start, as what a pass leaves out no longer vouches for the rest
+        rows = table.mapInPandas(_expect(model, common, step < 0), "kind string, item string, weight double").groupBy("kind", "item").agg(F.sum("weight").alias("weight")).collect()
         bigrams = {r.item: r.weight for r in rows if r.kind == "bigram"}
         counts = {int(r.item): r.weight for r in rows if r.kind == "cipher"}
         total = sum(counts.values()) + 0.5 * len(CIPHERS)
-        model = Model(bigrams, letters, tuple((counts.get(k, 0.0) + 0.5) / total for k in range(len(CIPHERS))))
+        damaged = sum(counts.values()) / max(1.0, sum(r.weight for r in rows if r.kind == "runs"))
+        model = Model(bigrams, letters, tuple((counts.get(k, 0.0) + 0.5) / total for k in range(len(CIPHERS))), max(Model.damaged, damaged))
     return model
 
 
-def _expect(model: Model | None, common: set[str]):
-    """E-step over a partition of the contexts; without a model only the certain runs count."""
+def _expect(model: Model | None, common: set[str], start: bool):
+    """E-step over a partition of the contexts. At the start only runs of common letters count: all of them without
+    a model, then those that no cipher deciphers into letters commoner between the same neighbours."""
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             weights: Counter = Counter()
             for left, run, right, n in pdf.itertuples(index=False):
-                if _seed(run, common):
-                    keep = 1.0
-                elif model is None or LOST in run:
-                    keep = 0.0
+                if LOST in run:
+                    continue
+                weights["runs", ""] += n
+                if start:
+                    keep = float(_seed(run, common) and (model is None or all(g <= 0 for g, _ in model.gains(left, run, right).values())))
                 else:
-                    odds = {k: math.exp(min(50.0, g + model.prior(k))) for k, (g, _) in model.gains(left, run, right).items()}
+                    # Rare signs are weighed by the default: the share of the common letters would absorb them.
+                    damaged = model.damaged if all(ch in common for ch in run) else Model.damaged
+                    odds = {k: math.exp(min(50.0, g + model.prior(k, damaged))) for k, (g, _) in model.gains(left, run, right).items()}
                     z = 1.0 + sum(odds.values())
                     keep = 1.0 / z
                     for k, o in odds.items():
@@ -312,7 +319,13 @@ def diagnose(model: Model, value: str) -> tuple[bool, str | None, float, str, in
     if best <= 0 and not has_lost:
         return False, None, best if seen and clearest is not None else 0.0, value, 0
     # Within the value: ciphers that its passages support become likely for its other passages too.
-    share = {k: (math.log(0.5) if e + model.prior(k) > 5 else model.prior(k)) for k, e in evidence.items()}
+    share = {}
+    for k, e in evidence.items():
+        share[k] = model.prior(k)
+        if e + share[k] > 5:
+            able = [(n, g[k][0]) for (left, run, right), n in seen.items() if k in (g := model.gains(left, run, right))]
+            wrote = sum(n for n, gain in able if gain > math.log(2))
+            share[k] = math.log(max(0.5, (wrote + 0.5) / (sum(n for n, _ in able) - wrote + 0.5)))
     unresolved = 0
     main = CIPHERS[max(share, key=share.get)] if share else None
 
@@ -341,7 +354,7 @@ def repair(df: DataFrame, value: str, model: Model) -> DataFrame:
     replaced by the letters their neighbours make likeliest, ``unresolved`` counts those that stay. Columns
     of ``df`` that have the names of new columns are replaced.
     """
-    shared = df.sparkSession.sparkContext.broadcast((model.bigrams, model.letters, model.shares))  # bounded by the alphabet
+    shared = df.sparkSession.sparkContext.broadcast((model.bigrams, model.letters, model.shares, model.damaged))  # bounded by the alphabet
 
     @F.pandas_udf(RESULT)
     def check(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -69,3 +69,13 @@ def test_ciphers_invert_themselves():
 def test_fields(spark):
     df = spark.createDataFrame([("a", "x", None), (None, "y", "z")], "id string, p string, q string")
     assert [tuple(r) for r in encoding.fields_long(df, "id", ["p", "q"]).collect()] == [("a", "p", "x")]
+
+
+@pytest.mark.parametrize("share", [3, 10])
+def test_one_source_with_a_large_share_of_the_rows(spark, share):
+    clean = [text() for _ in range(900)]
+    rows = [(k, t, spoil(t, "cp850", "cp1252") if k % share == 0 else t) for k, t in enumerate(clean)]
+    df = spark.createDataFrame(rows, "id int, plain string, t string")
+    out = encoding.repair(df, "t", encoding.learn(df, "t")).collect()
+    assert [r.id for r in out if r.damaged != (r.t != r.plain)] == []
+    assert sum(r.restored == r.plain for r in out) >= 0.95 * len(out)
