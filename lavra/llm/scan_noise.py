@@ -37,6 +37,8 @@ CONFUSIONS = (
 )
 #: Characters that no word of the language holds inside; the other confusions are between letters.
 CERTAIN = frozenset("!|€@$+¢015689äëö")
+#: Such a sign or digit between letters, where only misreading puts it. The letters ä, ë and ö stand in names.
+INSIDE = r"\p{L}[!|€@$+¢015689]+\p{L}"
 HYPHENS = "-‐¬­"
 CUT = re.compile(rf"(?<=[^\W\d_])([{HYPHENS}])[ \t]*\n(?=[^\WA-ZÀ-Þ_{re.escape(_MARKS)}]|[{re.escape(_MARKS)}]\w)")
 _HEAD, _TAIL = re.compile(rf"[\w{re.escape(_MARKS)}]+"), re.compile(rf"[\w{re.escape(_MARKS)}]+$")
@@ -64,26 +66,32 @@ def anagram_hash(c: Column) -> Column:
 
 
 def lexicon(df: DataFrame, text: str) -> DataFrame:
-    """(word, n): lower-case words with a letter, counted over all texts; counted per batch before the shuffle."""
+    """(word, n, d): lower-case words with a letter, counted over all rows (n) and over distinct texts (d), so a
+    misread word is no more frequent for the copies of its page; counted per batch before the second shuffle."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            total: Counter = Counter()
-            for t in pdf[text]:
-                if t:
-                    total.update(WORD.findall(t.lower()))
-            yield pd.DataFrame([(w, n) for w, n in total.items() if not w.isdigit()], columns=["word", "n"])
+            total, once = Counter(), Counter()
+            for t, copies in zip(pdf["t"], pdf["copies"]):
+                for w, n in Counter(WORD.findall(t.lower())).items():
+                    total[w] += n * copies
+                    once[w] += n
+            yield pd.DataFrame([(w, n, once[w]) for w, n in total.items() if not w.isdigit()], columns=["word", "n", "d"])
 
-    return df.select(text).mapInPandas(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("word").rlike(r"\p{L}"))
+    texts = df.select(F.col(text).alias("t")).where("t <> ''").groupBy("t").agg(F.count("*").alias("copies"))
+    counted = texts.mapInPandas(count, "word string, n bigint, d bigint").groupBy("word").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
+    return counted.where(F.col("word").rlike(r"\p{L}"))
 
 
 def corrections(words: DataFrame, ratio: int = 20, least_letters: int = 4) -> DataFrame:
     """(word, target): misread words and the most frequent word they can be a misreading of.
 
-    A target is at least ``ratio`` times as frequent; words shorter than ``least_letters`` need a character that
-    words don't hold. Up to two confusions per word are undone at a time.
+    A target is at least ``ratio`` times as frequent as the word is in distinct texts. A word with a sign or digit
+    between letters may have any frequency: its target only has to be known, that is, found ``ratio`` times.
+    Words shorter than ``least_letters`` need a character that words don't hold. Up to two confusions per word are
+    undone at a time.
     """
-    keyed = words.select("word", "n", anagram_hash(F.col("word")).alias("h"))
+    keyed = words.select("word", "n", "d", anagram_hash(F.col("word")).alias("h"))
     word = F.col("word")
     could = [
         F.when(
@@ -97,15 +105,15 @@ def corrections(words: DataFrame, ratio: int = 20, least_letters: int = 4) -> Da
         )
         for k, (noisy, true) in enumerate(CONFUSIONS)
     ]
-    first = keyed.select("word", "n", "h", F.array_compact(F.array(*could)).alias("_all")).select("*", F.explode("_all").alias("_a"))
+    first = keyed.select("word", "d", "h", F.array_compact(F.array(*could)).alias("_all")).select("*", F.explode("_all").alias("_a"))
     # One confusion, or two of which one is certain or which are the same.
     none = F.struct(F.lit(-1).alias("k"), F.lit(0).cast("bigint").alias("delta"), F.lit(False).alias("certain"), F.lit(False).alias("twice"))
     partners = F.filter("_all", lambda b: (b["k"] > F.col("_a.k")) & (b["certain"] | F.col("_a.certain")) | (b["k"] == F.col("_a.k")) & b["twice"])
-    both = first.select("word", "n", "h", "_a", F.explode(F.concat(F.array(none), partners)).alias("_b"))
+    both = first.select("word", "d", "h", "_a", F.explode(F.concat(F.array(none), partners)).alias("_b"))
     enough = (F.char_length("word") >= F.when(F.col("_a.certain") | F.col("_b.certain"), 2).otherwise(least_letters))
-    guesses = both.where(enough).select("word", "n", (F.col("h") + F.col("_a.delta") + F.col("_b.delta")).alias("h"))
+    guesses = both.where(enough).select("word", "d", (F.col("h") + F.col("_a.delta") + F.col("_b.delta")).alias("h"))
     good = keyed.where((F.col("n") >= ratio) & ~F.col("word").rlike(r"[0-9!|€@$+¢]")).select(F.col("word").alias("target"), F.col("n").alias("m"), "h")
-    hits = guesses.join(good, "h").where((F.col("m") >= ratio * F.col("n")) & (F.col("word") != F.col("target")) & (canonical(F.col("word")) == canonical(F.col("target"))))
+    hits = guesses.join(good, "h").where(((F.col("m") >= ratio * F.col("d")) | word.rlike(INSIDE)) & (F.col("word") != F.col("target")) & (canonical(F.col("word")) == canonical(F.col("target"))))
     return hits.groupBy("word").agg(F.max_by("target", F.struct("m", "target")).alias("target"))
 
 

@@ -48,3 +48,12 @@ def test_anagram_hash_is_additive(spark):
 
     row = spark.range(1).select(S.anagram_hash(F.lit("roma")).alias("a"), S.anagram_hash(F.lit("amor")).alias("b"), (S.anagram_hash(F.lit("tema")) - S.anagram_hash(F.lit("m")) + S.anagram_hash(F.lit("rn"))).alias("c"), S.anagram_hash(F.lit("terna")).alias("d")).first()
     assert row.a == row.b and row.c == row.d
+
+
+def test_misread_group_with_a_quarter_of_the_rows(spark):
+    copies = [(f"s{k}", SENTENCE.replace("calendário", "calcndário")) for k in range(30)]
+    source = [(f"m{k}", f"Ata {k}. " + SENTENCE.replace("município", "munic!pio")) for k in range(30)]
+    df = spark.createDataFrame([(f"c{k}", f"Folha {k}. " + SENTENCE) for k in range(60)] + copies + source, "id string, t string")
+    noise = S.Noise(df, "id", "t")
+    assert {r.id for r in noise.found().collect()} == {i for i, _ in copies + source}
+    assert {r.word: r.target for r in noise.fixes.collect()} == {"calcndário": "calendário", "munic!pio": "município"}
