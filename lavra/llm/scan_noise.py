@@ -20,7 +20,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,8 @@ from lavra.session import cut
 _MARKS = "!|€@$+¢"
 WORD = re.compile(rf"[\w{re.escape(_MARKS)}]+(?:-[\w{re.escape(_MARKS)}]+)*")
 #: Words that touch no odd sign: pieces of text in a wrong encoding are no misread words.
-_APART = re.compile(rf"(?<![^\x00-\x7f])(?<![\w{re.escape(_MARKS)}-])(?>{WORD.pattern})(?![^\x00-\x7f])")
+#: Nor are keys in braces, and a '!' that ends a word is punctuation.
+_APART = re.compile(rf"(?<![^\x00-\x7f])(?<![\w{re.escape(_MARKS)}{{-])(?>{WORD.pattern})(?<!!)(?![^\x00-\x7f])")
 #: What optical recognition reads, and what was printed.
 CONFUSIONS = (
     ("!", "i"), ("|", "l"), ("€", "e"), ("@", "a"), ("$", "s"), ("+", "t"), ("¢", "ç"), ("0", "o"), ("1", "l"), ("9", "g"), ("5", "s"), ("6", "b"), ("8", "b"),
@@ -41,9 +42,10 @@ CERTAIN = frozenset("!|€@$+¢015689äëö")
 INSIDE = r"\p{L}[!|€@$+¢015689]+\p{L}"
 HYPHENS = "-‐¬­"
 CUT = re.compile(rf"(?<=[^\W\d_])([{HYPHENS}])[ \t]*\n(?=[^\WA-ZÀ-Þ_{re.escape(_MARKS)}]|[{re.escape(_MARKS)}]\w)")
-_HEAD, _TAIL = re.compile(rf"[\w{re.escape(_MARKS)}]+"), re.compile(rf"[\w{re.escape(_MARKS)}]+$")
+_HEAD, _INNER = re.compile(rf"[\w{re.escape(_MARKS)}]+"), re.compile(rf"[\w{re.escape(_MARKS)}]")
 _P = r"[pP](?:[^\W\d_]|@|[^\x00-\x7f]{1,5})[gG9](?:[iI!1|l][nN][aA@]|\.)?"
-PAGE_NUMBER = re.compile(rf"[ \t]*(?:[-–—] ?\d{{1,4}} ?[-–—]|{_P} *\d{{1,4}}(?: *(?:d[e€c]|/) *\d{{1,4}})?|[fF][lL1|][sS]?\. *\d{{1,4}}|\[\d{{1,4}}/\d{{1,4}}\])[ \t]*")
+#: Numbers marked as page numbers may have any length, numbers that stand alone at most four digits.
+PAGE_NUMBER = re.compile(rf"[ \t]*(?:[-–—] ?\d+ ?[-–—]|{_P} *\d+(?: *(?:d[e€c]|/) *\d+)?|[fF][lL1|][sS]?\. *\d+|\[\d+/\d+\])[ \t]*")
 BARE_NUMBER = re.compile(r"[ \t]*\d{1,4}[ \t]*")
 NUMBERED_LINE = re.compile(r"(\S.*\S)[ \t]{3,}\d{1,4}[ \t]*")
 _SENTENCE = re.compile(r"[.!?:;,][\"'”’»)]*\s*$")
@@ -83,14 +85,47 @@ def lexicon(df: DataFrame, text: str) -> DataFrame:
     return counted.where(F.col("word").rlike(r"\p{L}"))
 
 
-def corrections(words: DataFrame, ratio: int = 20, least_letters: int = 4) -> DataFrame:
+def corrections(words: DataFrame, ratio: int = 20, least_letters: int = 4, spread: float = 8.0, few: int = 4) -> DataFrame:
     """(word, target): misread words and the most frequent word they can be a misreading of.
 
     A target is at least ``ratio`` times as frequent as the word is in distinct texts. A word with a sign or digit
     between letters may have any frequency: its target only has to be known, that is, found ``ratio`` times.
     Words shorter than ``least_letters`` need a character that words don't hold. Up to two confusions per word are
     undone at a time.
+
+    A form that stands far more often than misreading explains is a word of its own ('familias' in a Spanish
+    text). How often a target is misread is learnt per confusion from the corpus (``misread_rates``); a form may
+    be ``spread`` times as frequent as that, and ``few`` occurrences are always possible.
+    """
+    hits = cut(_candidates(words, ratio, least_letters))
+    rates = misread_rates(hits.where("two = -1 and not inside"), ratio)
+    likely = hits.join(F.broadcast(rates), "one", "left").where(F.col("inside") | (F.col("d") <= few + spread * F.col("m") * F.coalesce("rate", F.lit(1.0 / ratio))))
+    return likely.groupBy("word").agg(F.max_by("target", F.struct("m", "target")).alias("target"))
+
+
+def misread_rates(hits: DataFrame, ratio: int, least_pairs: int = 10) -> DataFrame:
+    """(one, rate): the share of a word's occurrences that a confusion misreads, one row per confusion.
+
+    It is the median of d / m over the confusion's pairs, weighted by the frequency m of the targets: a word of the
+    language that looks like a misreading of another one is a single pair and moves a median little. Confusions
+    with fewer than ``least_pairs`` pairs get the median of all. Shares are counted in steps of a fourth of a
+    power of two, so the table is bounded by the number of confusions, whatever the size of the corpus.
     """
+    step = F.floor(4 * F.log2(F.col("d") / F.col("m"))).alias("step")
+    table = hits.groupBy("one", step).agg(F.sum("m").alias("mass"), F.count("*").alias("pairs"))
+    both = table.select("one", "step", "mass", "pairs").unionByName(table.groupBy("step").agg(F.sum("mass").alias("mass"), F.sum("pairs").alias("pairs")).withColumn("one", F.lit(-1)))
+    w = Window.partitionBy("one")
+    summed = both.select("one", "step", F.sum("mass").over(w.orderBy("step")).alias("upto"), F.sum("mass").over(w).alias("mass"), F.sum("pairs").over(w).alias("pairs"))
+    middle = summed.where(F.col("upto") >= 0.5 * F.col("mass")).groupBy("one").agg(F.min("step").alias("step"), F.max("pairs").alias("pairs"))
+    rate = F.pow(F.lit(2.0), (F.col("step") + 1) / 4)
+    pooled = middle.where("one = -1").select(rate.alias("pooled"))
+    known = middle.where("one >= 0").select("one", "pairs", rate.alias("rate")).crossJoin(F.broadcast(pooled))  # one row
+    return known.select("one", F.when(F.col("pairs") >= least_pairs, F.col("rate")).otherwise(F.col("pooled")).alias("rate"))
+
+
+def _candidates(words: DataFrame, ratio: int, least_letters: int) -> DataFrame:
+    """(word, d, target, m, one, two, inside): frequent words that one or two confusions (their numbers in
+    ``CONFUSIONS``) turn into the word; ``inside`` if a sign or digit stands between its letters."""
     keyed = words.select("word", "n", "d", anagram_hash(F.col("word")).alias("h"))
     word = F.col("word")
     could = [
@@ -111,10 +146,11 @@ def corrections(words: DataFrame, ratio: int = 20, least_letters: int = 4) -> Da
     partners = F.filter("_all", lambda b: (b["k"] > F.col("_a.k")) & (b["certain"] | F.col("_a.certain")) | (b["k"] == F.col("_a.k")) & b["twice"])
     both = first.select("word", "d", "h", "_a", F.explode(F.concat(F.array(none), partners)).alias("_b"))
     enough = (F.char_length("word") >= F.when(F.col("_a.certain") | F.col("_b.certain"), 2).otherwise(least_letters))
-    guesses = both.where(enough).select("word", "d", (F.col("h") + F.col("_a.delta") + F.col("_b.delta")).alias("h"))
+    guesses = both.where(enough).select("word", "d", F.col("_a.k").alias("one"), F.col("_b.k").alias("two"), (F.col("h") + F.col("_a.delta") + F.col("_b.delta")).alias("h"))
     good = keyed.where((F.col("n") >= ratio) & ~F.col("word").rlike(r"[0-9!|€@$+¢]")).select(F.col("word").alias("target"), F.col("n").alias("m"), "h")
-    hits = guesses.join(good, "h").where(((F.col("m") >= ratio * F.col("d")) | word.rlike(INSIDE)) & (F.col("word") != F.col("target")) & (canonical(F.col("word")) == canonical(F.col("target"))))
-    return hits.groupBy("word").agg(F.max_by("target", F.struct("m", "target")).alias("target"))
+    inside = word.rlike(INSIDE)
+    hits = guesses.join(good, "h").where(((F.col("m") >= ratio * F.col("d")) | inside) & (F.col("word") != F.col("target")) & (canonical(F.col("word")) == canonical(F.col("target"))))
+    return hits.select("word", "d", "target", "m", "one", "two", inside.alias("inside"))
 
 
 def plain_line(line: str) -> str:
@@ -140,7 +176,7 @@ def edge_lines(text: str) -> tuple[set[int], set[int], list[int]]:
     bare = [bool(BARE_NUMBER.fullmatch(x.strip("\f\r"))) for x in lines]
     for k, raw in enumerate(lines):
         line = raw.strip("\f\r")
-        if not line.strip() or len(line) > 120:
+        if not line.strip():
             continue
         if PAGE_NUMBER.fullmatch(line):
             numbers.add(k)
@@ -167,9 +203,11 @@ def cut_places(text: str) -> list[tuple[int, int, str, str, str]]:
     """(start, end, sign, before, after) of the line ends that cut a word; before and after are its halves."""
     out = []
     for m in CUT.finditer(text):
-        before, after = _TAIL.search(text, max(0, m.start() - 40), m.start()), _HEAD.match(text, m.end())
-        if before and after and any(c.isalpha() for c in after[0]):
-            out.append((m.start(), m.end(), m[1], before[0], after[0]))
+        start, after = m.start(), _HEAD.match(text, m.end())
+        while start and _INNER.match(text, start - 1):
+            start -= 1
+        if start < m.start() and after and any(c.isalpha() for c in after[0]):
+            out.append((m.start(), m.end(), m[1], text[start : m.start()], after[0]))
     return out
 
 
@@ -288,7 +326,8 @@ def repair(df: DataFrame, key: str, text: str, ratio: int = 20) -> DataFrame:
     fixes = noise.misread().groupBy(key).agg(F.map_from_entries(F.collect_set(F.struct("word", "target"))).alias("fixes"))
     joined = noise.cut_words().groupBy(key).agg(F.collect_set("joined").alias("joined"))
     heads = noise.lone_headers().groupBy(key).agg(F.collect_set("item").alias("heads"))
-    rows = df.select(key, text).dropDuplicates([key]).join(noise.found(), key).join(fixes, key, "left").join(joined, key, "left").join(heads, key, "left")
+    noisy = df.select(key, text).join(noise.found(), key, "left_semi").dropDuplicates([key])
+    rows = noisy.join(fixes, key, "left").join(joined, key, "left").join(heads, key, "left")
 
     @F.pandas_udf(T.StringType())
     def apply(t: pd.Series, f: pd.Series, j: pd.Series, h: pd.Series) -> pd.Series:

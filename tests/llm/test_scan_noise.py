@@ -57,3 +57,29 @@ def test_misread_group_with_a_quarter_of_the_rows(spark):
     noise = S.Noise(df, "id", "t")
     assert {r.id for r in noise.found().collect()} == {i for i, _ in copies + source}
     assert {r.word: r.target for r in noise.fixes.collect()} == {"calcndário": "calendário", "munic!pio": "município"}
+
+
+def test_a_foreign_word_is_no_misreading(spark):
+    words = [f"carta{c}{v}{d}" for c in "bdfg" for v in "aeou" for d in "nprs"]
+    text = " ".join(words) + " famílias exercícios município"
+    rows = [(f"c{k}", f"Ata {k}. {text}") for k in range(600)]
+    # Each word is misread about once in 660 times; 'familias' is a word of the other language, 1 to 21 against the Portuguese one.
+    rows += [(f"m{k}", f"Ata {k}. " + text.replace(w, w.replace("t", "l"))) for k, w in enumerate(words)]
+    rows += [("slip", text.replace("município", "municipio")), ("slip2", text.replace("exercícios", "exercicios"))]
+    rows += [(f"f{k}", f"El coro {k} ensaya con las familias.") for k in range(28)]
+    got = S.Noise(spark.createDataFrame(rows, "id string, t string"), "id", "t")
+    ids = {r.id for r in got.found().collect()}
+    assert {"slip", "slip2"} <= ids and not [i for i in ids if i[0] in "cf"]
+    assert len([i for i in ids if i[0] == "m"]) == len(words)
+
+
+def test_no_limit_on_the_length_of_lines_and_halves():
+    long_header = "Diário Oficial da Serra " + "e da Serra de Cima " * 12
+    assert S.edge_lines(f"{long_header}    12\nTexto da ata segue\nPágina 123456\n{long_header}    13\nfim da ata")[:2] == ({2}, {0, 3})
+    half = "anti" * 20
+    assert S.cut_places(f"uma {half}-\nconstitucional") == [(84, 86, "-", half, "constitucional")]
+
+
+def test_punctuation_and_keys_are_no_words():
+    words = {i for k, i, _ in S.evidence("Viva o local! Ver ~\\cite{ato5} e loc!al", frozenset()) if k == "word"}
+    assert "loc!al" in words and "local!" not in words and "ato5" not in words
