@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lavra.llm.markup import MAY_HOLD, ROLES, WEIGHTS, Labeller, labelled
+from lavra.llm.markup import ROLES, SIGNS, WEIGHTS, Labeller, labelled
 
 #: LaTeX accents and the combining characters they stand for.
 ACCENTS = {"`": "̀", "'": "́", "^": "̂", "~": "̃", '"': "̈", "=": "̄", ".": "̇", "c": "̧"}
@@ -35,7 +35,8 @@ class _Page(HTMLParser):
         self.now = ""
         self.skip = self.pre = 0
         self.lists: list[list] = []
-        self.cells: list[str] | None = None
+        self.rows: list[list[str]] = []  # open rows, the innermost table's last
+        self.tables: list[int] = []  # rows that were open when a table began
 
     def _end(self, blank: bool = False) -> None:
         if self.now.strip():
@@ -44,6 +45,24 @@ class _Page(HTMLParser):
         if blank and self.lines and self.lines[-1]:
             self.lines.append("")
 
+    def _end_cell(self) -> None:
+        """A cell or text that the next cell ends."""
+        if self.now.strip():
+            self.rows[-1].append(self.now.strip())
+            self.now = ""
+
+    def _end_row(self) -> None:
+        """The open row of the innermost table, with its last cell; end tags of cells and rows may be missing."""
+        if len(self.rows) > (self.tables[-1] if self.tables else 0):
+            self._end_cell()
+            self.lines.append(" | ".join(self.rows.pop()))
+
+    def end(self) -> None:
+        while self.rows:
+            self.tables.clear()
+            self._end_row()
+        self._end()
+
     def handle_starttag(self, tag, attrs):
         if tag in ("script", "style"):
             self.skip += 1
@@ -57,9 +76,17 @@ class _Page(HTMLParser):
             if self.lists:
                 self.lists[-1][1] += 1
             self.now = f"{self.lists[-1][1]}. " if self.lists and self.lists[-1][0] == "ol" else "- "
+        elif tag == "table":
+            if self.rows:
+                self._end_cell()
+            self._end()
+            self.tables.append(len(self.rows))
         elif tag == "tr":
+            self._end_row()
             self._end()
-            self.cells = []
+            self.rows.append([])
+        elif tag in ("td", "th") and self.rows:
+            self._end_cell()
         elif tag == "pre":
             self._end(True)
             self.pre += 1
@@ -73,12 +100,16 @@ class _Page(HTMLParser):
     def handle_endtag(self, tag):
         if tag in ("script", "style"):
             self.skip = max(0, self.skip - 1)
-        elif tag in ("td", "th") and self.cells is not None:
-            self.cells.append(self.now.strip())
+        elif tag in ("td", "th") and self.rows:
+            self.rows[-1].append(self.now.strip())
             self.now = ""
-        elif tag == "tr" and self.cells is not None:
-            self.lines.append(" | ".join(self.cells))
-            self.cells = None
+        elif tag == "tr":
+            self._end_row()
+        elif tag == "table":
+            self._end_row()
+            if self.tables:
+                self.tables.pop()
+            self._end(True)
         elif tag in ("ul", "ol"):
             self._end(len(self.lists) == 1)
             if self.lists:
@@ -112,7 +143,7 @@ def from_html(text: str) -> str:
     page = _Page()
     page.feed(text)
     page.close()
-    page._end()
+    page.end()
     return "\n".join(page.lines)
 
 
@@ -123,7 +154,8 @@ def _accent(m: re.Match) -> str:
 
 def from_latex(text: str) -> str:
     """LaTeX to clean text: accents composed, commands unwrapped, environments as lists, tables, code and formulas."""
-    text = re.sub(r"(?<!\\)%[^\n]*", "", text)
+    if re.search(r"\\documentclass|\\begin\{document\}", text):  # in prose with single marks a percent sign is one
+        text = re.sub(r"(?<!\\)%[^\n]*", "", text)
     out, stack, number = [], [], 0
     for line in text.split("\n"):
         here = stack[-1] if stack else ""
@@ -237,7 +269,7 @@ def clean(text: str, kinds: set[str], roles: list[str]) -> str:
     return re.sub(r"\n{3,}", "\n\n", text).strip("\n")
 
 
-def convert(df: DataFrame, text: str, threshold: float = 0.02, weights: str = str(WEIGHTS)) -> DataFrame:
+def convert(df: DataFrame, text: str, weights: str = str(WEIGHTS)) -> DataFrame:
     """``df`` with ``markup array<string>`` and ``clean_text``.
 
     Texts without markup come out as they are, null as null. Columns of ``df`` that have the names of new
@@ -253,12 +285,12 @@ def convert(df: DataFrame, text: str, threshold: float = 0.02, weights: str = st
             values = s.tolist()
             out: list[tuple] = [([], None) for _ in values]
             live = [k for k, t in enumerate(values) if t]
-            for k, (kinds, roles) in zip(live, labelled([values[k] for k in live], labeller, threshold), strict=True):
+            for k, (kinds, roles) in zip(live, labelled([values[k] for k in live], labeller), strict=True):
                 if kinds:
                     out[k] = (sorted(kinds), clean(values[k], kinds, [ROLES[x] for x in roles]))
             yield pd.DataFrame(out, columns=["markup", "clean_text"])
 
     rest = [c for c in df.columns if c not in (text, "markup", "clean_text")]
-    rows = df.select(*rest, F.col(text).alias("_t"), run(F.when(F.col(text).rlike(MAY_HOLD), F.col(text))).alias("_r"))
+    rows = df.select(*rest, F.col(text).alias("_t"), run(F.when(F.col(text).rlike(SIGNS), F.col(text))).alias("_r"))
     return rows.select(*rest, F.col("_r.markup").alias("markup"), F.coalesce("_r.clean_text", "_t").alias("clean_text"))
 
