@@ -19,14 +19,25 @@ from pyspark.sql import types as T
 
 from lavra.session import cut
 
-#: Cyrillic and Greek letters drawn like Latin ones, in code point order of the left side.
+#: Letters of other scripts drawn like Latin ones, by script and in code point order.
 LOOKALIKES = {
-    "Ϲ": "C", "ϲ": "c", "ϳ": "j", "Ϳ": "J",
-    "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
-    "ν": "v", "ο": "o", "ρ": "p",
+    # Latin
+    "ı": "i", "ɑ": "a", "ɡ": "g", "ɩ": "i", "ʋ": "u", "ᴄ": "c", "ᴏ": "o", "ᴜ": "u", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ꜱ": "s",
+    # Greek
+    "Ϳ": "J", "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
+    "α": "a", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "υ": "u", "ϲ": "c", "ϳ": "j", "Ϲ": "C",
+    # Cyrillic
     "Ѕ": "S", "І": "I", "Ј": "J", "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X",
-    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j",
-    "Ү": "Y", "һ": "h", "Ӏ": "I", "ԁ": "d", "ԛ": "q", "Ԛ": "Q", "ԝ": "w", "Ԝ": "W", "ѵ": "v", "ɡ": "g", "ı": "i",
+    "а": "a", "е": "e", "к": "k", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "ѕ": "s", "і": "i", "ј": "j",
+    "ѵ": "v", "Ү": "Y", "һ": "h", "Ӏ": "I", "ӏ": "l", "ԁ": "d", "Ԛ": "Q", "ԛ": "q", "Ԝ": "W", "ԝ": "w",
+    # Armenian
+    "Լ": "L", "Ս": "U", "Տ": "S", "Օ": "O", "զ": "q", "հ": "h", "յ": "j", "ո": "n", "ս": "u", "ց": "g", "օ": "o",
+    # Cherokee
+    "Ꭰ": "D", "Ꭱ": "R", "Ꭲ": "T", "Ꭵ": "i", "Ꭺ": "A", "Ꭻ": "J", "Ꭼ": "E", "Ꮃ": "W", "Ꮇ": "M", "Ꮋ": "H", "Ꮐ": "G", "Ꮓ": "Z", "Ꮩ": "V", "Ꮪ": "S", "Ꮮ": "L", "Ꮯ": "C", "Ꮲ": "P", "Ꮶ": "K", "Ᏼ": "B",
+    # Coptic
+    "Ⲏ": "H", "Ⲓ": "I", "Ⲕ": "K", "Ⲙ": "M", "Ⲛ": "N", "Ⲟ": "O", "ⲟ": "o", "Ⲣ": "P", "ⲣ": "p", "Ⲥ": "C", "ⲥ": "c", "Ⲧ": "T", "Ⲭ": "X",
+    # Lisu
+    "ꓐ": "B", "ꓑ": "P", "ꓓ": "D", "ꓔ": "T", "ꓖ": "G", "ꓗ": "K", "ꓙ": "J", "ꓚ": "C", "ꓜ": "Z", "ꓝ": "F", "ꓟ": "M", "ꓠ": "N", "ꓡ": "L", "ꓢ": "S", "ꓣ": "R", "ꓦ": "V", "ꓧ": "H", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓮ": "A", "ꓰ": "E", "ꓲ": "I", "ꓳ": "O", "ꓴ": "U",
 }
 #: White space of every width (no-break, figure, ideographic and so on).
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -41,6 +52,13 @@ IGNORABLE = (
 INVISIBLE_KINDS = ("<wide>", "<narrow>", "<noBreak>", "<initial>", "<medial>", "<final>", "<isolated>")
 
 
+def _plain_letter(ch: str, kind: str) -> bool:
+    """Roman numerals, and mathematical letters and digits without weight or slant: they look like the letters they
+    are made of. Bold, italic, script and double-struck letters are visibly different."""
+    name = unicodedata.name(ch, "") if kind in ("<compat>", "<font>") else ""
+    return name.startswith(("ROMAN NUMERAL", "SMALL ROMAN NUMERAL", "MATHEMATICAL MONOSPACE")) or name.startswith("MATHEMATICAL SANS-SERIF") and not ("BOLD" in name or "ITALIC" in name)
+
+
 class _Table(dict):
     """Per-character mapping for str.translate, filled as characters occur; at most one entry per code point."""
 
@@ -55,7 +73,7 @@ class _Table(dict):
             out = ""
         elif ch in SPACES:
             out = " "
-        elif self.visible_only and not (kind in INVISIBLE_KINDS or 0xFB00 <= code <= 0xFB06 or kind and not kind.startswith("<")):
+        elif self.visible_only and not (kind in INVISIBLE_KINDS or 0xFB00 <= code <= 0xFB06 or kind and not kind.startswith("<") or _plain_letter(ch, kind)):
             out = ch
         else:
             out = unicodedata.normalize("NFKD", ch)
@@ -71,18 +89,12 @@ def _table(visible_only: bool) -> _Table:
 
 def visible_form(text: str) -> str:
     """What a reader sees; runs of white space count as one space, white space at the ends as none."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFC", text.translate(_table(True)))
-    return " ".join(text.split())
+    return " ".join(unicodedata.normalize("NFC", text.translate(_table(True))).split())
 
 
 def normal_form(text: str) -> str:
     """The form for comparisons: compatibility-composed, case-folded, without marks of encoding variants."""
-    if not text.isascii():
-        text = unicodedata.normalize("NFKC", text.translate(_table(False)))
-    folded = text.casefold()
-    if not folded.isascii():
-        folded = unicodedata.normalize("NFKC", folded)
+    folded = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text.translate(_table(False))).casefold())
     return " ".join(folded.split())
 
 

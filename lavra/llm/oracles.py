@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from lavra.llm.lookalike import IGNORABLE, LOOKALIKES, MARKS, SPACES
+# Fixed values, spelled out here so that the comparison doesn't share the operator's tables: letters and what they look like.
+_LETTERS = (
+    "ıɑɡɩʋᴄᴏᴜᴠᴡᴢꜱͿΑΒΕΖΗΙΚΜΝΟΡΤΥΧαικνορυϲϳϹЅІЈАВЕКМНОРСТУХаекорсух"
+    "ѕіјѵҮһӀӏԁԚԛԜԝԼՍՏՕզհյոսցօᎠᎡᎢᎥᎪᎫᎬᎳᎷᎻᏀᏃᏙᏚᏞᏟᏢᏦᏴⲎⲒⲔⲘⲚⲞⲟⲢⲣⲤⲥⲦⲬꓐꓑꓓꓔ"
+    "ꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ"
+)
+_LATIN = (
+    "iagiucouvwzsJABEZHIKMNOPTYXaikvopucjCSIJABEKMHOPCTYXaekopcyx"
+    "sijvYhIldQqWwLUSOqhjnugoDRTiAJEWMHGZVSLCPKBHIKMNOoPpCcTXBPDT"
+    "GKJCZFMNLSRVHWXYAEIOU"
+)
+# Marks drawn alike, code points of white space, and ranges of characters that show nothing.
+_MARKS = ("\u2010\u2011\u2024\u037e\u0387", "--.;\u00b7")
+_SPACE_POINTS = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_NOTHING = "00-08 0E-1B 7F-84 86-9F AD-AD 34F-34F 61C-61C 115F-1160 17B4-17B5 180B-180F 200B-200F 202A-202E 2060-206F 3164-3164 FE00-FE0F FEFF-FEFF FFA0-FFA0 FFF0-FFF8 1BCA0-1BCA3 1D173-1D17A E0000-E0FFF"
 
 _BLANK = r"[^\s\p{Z}]"
-_WIDE = {chr(c + 0xFEE0): chr(c) for c in range(0x21, 0x7F)}
+_WIDE = "".join(chr(c + 0xFEE0) for c in range(0x21, 0x7F)), "".join(chr(c) for c in range(0x21, 0x7F))
 
 
 def _quoted(s: str) -> str:
@@ -14,9 +28,10 @@ def _quoted(s: str) -> str:
 
 def _looks(text: str) -> str:
     """The visible form: ignorable characters removed, widths, look-alikes and spaces mapped, then composed."""
-    gone = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in IGNORABLE) + "]"
-    table = {**_WIDE, **LOOKALIKES, **MARKS, **{c: " " for c in SPACES}}
-    mapped = f"translate(regexp_replace({text}, '{gone}', '', 'g'), {_quoted(''.join(table))}, {_quoted(''.join(table.values()))})"
+    gone = "[" + "".join("-".join(f"\\x{{{x}}}" for x in r.split("-")) for r in _NOTHING.split()) + "]"
+    spaces = "".join(map(chr, _SPACE_POINTS))
+    left, right = _WIDE[0] + _LETTERS + _MARKS[0] + spaces, _WIDE[1] + _LATIN + _MARKS[1] + " " * len(spaces)
+    mapped = f"translate(regexp_replace({text}, '{gone}', '', 'g'), {_quoted(left)}, {_quoted(right)})"
     for ligature, letters in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st")):
         mapped = f"replace({mapped}, '{ligature}', '{letters}')"
     return f"trim(regexp_replace(nfc_normalize({mapped}), ' +', ' ', 'g'))"

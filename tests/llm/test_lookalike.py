@@ -34,3 +34,16 @@ def test_hot_group(spark):
 def test_normalise_keeps_nulls(spark):
     df = spark.createDataFrame([(None,), ("É",), ("É",)], "t string")
     assert [r.x for r in df.select(lookalike.normalise(df.t).alias("x")).collect()] == [None, "é", "é"]
+
+
+def test_one_path_for_ascii_and_other_texts():
+    for form in (lookalike.visible_form, lookalike.normal_form):
+        assert form("abc\x07d") == form("abcd") == "abcd" and form("ábc\x07d") == form("ábcd")
+        assert form("a\x1cb\tc\x0bd") == "a b c d"
+
+
+def test_letters_of_other_scripts():
+    for a, b in (("ɑtɑ", "ata"), ("Ꭺtɑ", "Ata"), ("ꓮto", "Ato"), ("nօtɑ", "nota"), ("հօra", "hora"), ("ⲟra", "ora"), ("Ⅳ", "IV"), ("ⅸ", "ix"), ("𝖺𝗍𝗈", "ato"), ("𝚊𝚝𝚘", "ato")):
+        assert lookalike.visible_form(a) == b
+    for a, b in (("𝐀to", "Ato"), ("𝑎to", "ato"), ("ªto", "ato"), ("½", "1/2"), ("á", "a")):
+        assert lookalike.visible_form(a) != lookalike.visible_form(b)
