@@ -2,20 +2,27 @@
 
 Every swap of two code pages is a substitution cipher: each letter of the language is written as a fixed
 string of odd characters. The observed data are the runs of non-ASCII characters with their neighbours, as
-corpus-wide counts. The cipher behind a run is hidden; expectation-maximisation estimates, in turn,
+corpus-wide counts. Two things are learnt from them, both by expectation-maximisation against the bigrams of
+the language:
 
-- E: how likely each cipher (or none) wrote a run, from the language's letter bigrams around the deciphered
-  letters and from how common the ciphers are;
-- M: the bigrams of undamaged text, the share of damaged runs, and the share of each cipher.
+*The language and the swaps whose code pages are known.* The cipher behind a run is hidden. E: how likely each
+cipher (or none) wrote a run, from the letter bigrams around the deciphered letters and from how common the
+ciphers are. M: the bigrams of undamaged text, the share of damaged runs, and the share of each cipher. The
+bigrams start from the runs made of the commonest letters only, less those that a cipher deciphers into letters
+commoner between the same neighbours: a source damaged in one way may hold any share of the rows below one half.
+After that no run is certain, each is weighed again.
 
-The cipher tables are the public code pages, and the bigrams start from the runs made of the commonest letters
-only, less those that a cipher deciphers into letters commoner between the same neighbours: a source damaged in
-one way may hold any share of the rows below one half. After that no run is certain, each is weighed again. A value (one text or path) is its own source: the ciphers'
-shares are estimated again within each value before its passages are deciphered, so passages that are damaged
-in one way support each other.
+*The mapping of unknown swaps, per source.* Runs with characters that stand in few sources (folders, say) and
+that no known page explains are pooled by source. Their signs, or pairs of signs where a letter is written in two bytes, are
+units whose letters are hidden. E: the letters of each run, by forward and backward sums over the bigrams. M:
+the table from unit to letter. Known code pages are starting points of the table only. A table is used if what it
+deciphers reads about as well as undamaged text; it is applied with ``str.translate``.
+
+A value (one text or path) decides how its own passages are deciphered: the ciphers' shares are estimated again
+within it, so passages that are damaged in one way support each other.
 
 All statistics are counts over all values. The driver holds the bigram table alone, whose size is bounded by
-the square of the fixed alphabet of the code pages.
+the square of the fixed alphabet of the code pages; the tables of the sources stay distributed.
 """
 
 from __future__ import annotations
@@ -27,8 +34,9 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,14 +147,18 @@ def _known(ch: str) -> str:
 
 @dataclass
 class Model:
-    """Bigrams of undamaged text around non-ASCII runs, letters, and the shares of the ciphers."""
+    """Bigrams of undamaged text around non-ASCII runs, letters, the shares of the ciphers, and how well a sign of
+    undamaged text usually fits (``usual``, mean log-likelihood); ``foreign`` are the characters that stand in few sources."""
 
     bigrams: dict[str, float]
     letters: tuple[str, ...]
     shares: tuple[float, ...] = tuple(1 / len(CIPHERS) for _ in CIPHERS)
     damaged: float = 0.01
+    usual: float = 0.0
+    foreign: frozenset[str] = frozenset()
     _single: dict[str, float] = field(default_factory=dict, repr=False)
     _memo: dict = field(default_factory=dict, repr=False)
+    _weighed: dict = field(default_factory=dict, repr=False)
 
     def __post_init__(self):
         single: Counter = Counter()
@@ -200,6 +212,23 @@ class Model:
             self._memo[left, run, right] = got
         return got
 
+    def weigh(self, left: str, run: str, right: str, scanned: bool = True) -> tuple[float, int | None, list[tuple[int, float]]]:
+        """Log-odds of the likeliest cipher behind a run, that cipher, and what the run gains by each. In
+        scanned text a sign that is read for a letter counts only as far as that reading explains it worse."""
+        key = (left, run, right, scanned)
+        got = self._weighed.get(key)
+        if got is None:
+            misread = run.translate(MISREAD) if scanned else run
+            slip = max(0.0, self.fit(left, misread, right) - self.fit(left, run, right)) if misread != run else 0.0
+            each = [(k, gain - slip) for k, (gain, _) in self.gains(left, run, right).items()]
+            top, best = max(((gain + self.prior(k), k) for k, gain in each), default=(-math.inf, None))
+            got = self._weighed[key] = (top, best, each)
+        return got
+
+    def odd(self, left: str, run: str, right: str) -> bool:
+        """With a character that stands in few sources, and not explained by a known cipher."""
+        return not self.foreign.isdisjoint(run) and LOST not in run and self.weigh(left, run, right)[0] <= 0
+
     def prior(self, k: int, damaged: float = 0.01) -> float:
         """Of a single run; a value is judged by the default, as most values of a much damaged corpus may be clean."""
         return math.log(damaged * self.shares[k] + 1e-12)
@@ -221,22 +250,48 @@ def runs(value: str) -> Counter:
     return Counter((fold(a), run, fold(b)) for a, run, b in RUN.findall(value))
 
 
-def contexts(values: DataFrame, value: str) -> DataFrame:
-    """(l, run, r, n): non-ASCII runs with their neighbours, counted over all values; counted per batch first."""
+def contexts(values: DataFrame, value: str, source: str | None = None) -> DataFrame:
+    """(l, run, r, s, n): non-ASCII runs with their neighbours, counted over all values, where s is null; and with a
+    source, the non-ASCII characters of each source s (in run). Counted per batch first."""
+    origin = F.lit(None).cast("string") if source is None else F.coalesce(F.col(source).cast("string"), F.lit(""))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             total: Counter = Counter()
-            for v in pdf[value]:
+            chars: Counter = Counter()
+            for v, s in zip(pdf["v"], pdf["s"], strict=True):
                 if v and not v.isascii():
-                    total.update([(a, run, b) for a, run, b in RUN.findall(v)])
+                    found = [(a, run, b) for a, run, b in RUN.findall(v)]
+                    total.update(found)
+                    if s is not None:
+                        chars.update((s, ch) for ch in "".join(run for _, run, _ in found))
             folded: Counter = Counter()
             for (a, run, b), n in total.items():
-                folded[fold(a), run, fold(b)] += n
-            yield pd.DataFrame([(*k, n) for k, n in folded.items()], columns=["l", "run", "r", "n"])
+                folded[fold(a), run, fold(b), None] += n
+            for (s, ch), n in chars.items():
+                folded["", ch, "", s] += n
+            yield pd.DataFrame([(*k, n) for k, n in folded.items()], columns=["l", "run", "r", "s", "n"])
+
+    rows = values.select(F.col(value).alias("v"), origin.alias("s")).mapInPandas(count, "l string, run string, r string, s string, n bigint")
+    return rows.groupBy("l", "run", "r", "s").agg(F.sum("n").alias("n"))
 
-    rows = values.select(value).mapInPandas(count, "l string, run string, r string, n bigint")
-    return rows.groupBy("l", "run", "r").agg(F.sum("n").alias("n"))
+
+def concentrated(table: DataFrame) -> set[str]:
+    """The non-ASCII characters that stand in fewer than a fourth of the sources that their frequency lets expect.
+
+    The letters of a language stand in all its sources; what a swap makes of them stands in the damaged ones only,
+    however many rows these have. If a character has the share p of all, a source of n characters holds it with
+    probability 1 - exp(-n p). Sources are summed up by powers of two of their size, so what comes to the driver
+    is bounded by the number of characters there are.
+    """
+    by_source = table.where("s is not null").select("s", "run", "n")
+    sizes = by_source.groupBy("s").agg(F.sum("n").alias("size"))
+    steps = sizes.groupBy(F.floor(F.log2("size")).alias("_b")).agg(F.count("*").alias("sources"), F.avg("size").alias("size"))
+    total = steps.agg(F.sum(F.col("sources") * F.col("size")).alias("total"))
+    chars = by_source.groupBy("run").agg(F.count("*").alias("found"), F.sum("n").alias("n"))
+    wide = chars.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(steps))  # one row, and one row per power of two
+    expected = wide.groupBy("run", "found").agg(F.sum(F.col("sources") * (1 - F.exp(-F.col("size") * F.col("n") / F.col("total")))).alias("expected"))
+    return {r.run for r in expected.where("expected >= 3 and 4 * found < expected").select("run").collect()}
 
 
 def _pairs(left: str, run: str, right: str) -> list[str]:
@@ -249,17 +304,21 @@ def _seed(run: str, common: set[str]) -> bool:
     return all(ch in common for ch in run) and not any(CIPHERS[k].written == "utf-8" and (p := _deciphered(k, run)) is not None and len(p) < len(run) for k in range(len(CIPHERS)))
 
 
-def learn(values: DataFrame, value: str, iterations: int = 3, common_share: float = 0.005) -> Model:
-    """The model of a corpus, by expectation-maximisation over its context counts.
+def learn(values: DataFrame, value: str, iterations: int = 3, common_share: float = 0.005, source: str | None = None) -> Model:
+    """The model of a corpus, by expectation-maximisation over its context counts. With a ``source`` column,
+    characters that stand in few sources are no letters of the language.
 
     What comes to the driver are sums over an alphabet fixed by the code pages: character totals, bigram
     weights and cipher weights. An empty corpus gives a model without bigrams, which changes nothing.
     """
-    table = cut(contexts(values, value))
+    counted = cut(contexts(values, value, source))
+    table = counted.where("s is null").select("l", "run", "r", "n")
     chars = table.select(F.explode(F.split("run", "")).alias("ch"), "n").where(F.col("ch").isin(sorted(ALPHABET)))
     totals = {r.ch: r.n for r in chars.groupBy("ch").agg(F.sum("n").alias("n")).collect()}
     size = sum(totals.values())
     common = {ch for ch, n in totals.items() if n >= common_share * size and ch != LOST}
+    foreign = frozenset(concentrated(counted) if source is not None else ())
+    common -= foreign
     letters = tuple(sorted(common))
     model = None
     for step in range(-4, iterations):  # four passes of the start, as what a pass leaves out no longer vouches for the rest
@@ -268,7 +327,9 @@ def learn(values: DataFrame, value: str, iterations: int = 3, common_share: floa
         counts = {int(r.item): r.weight for r in rows if r.kind == "cipher"}
         total = sum(counts.values()) + 0.5 * len(CIPHERS)
         damaged = sum(counts.values()) / max(1.0, sum(r.weight for r in rows if r.kind == "runs"))
-        model = Model(bigrams, letters, tuple((counts.get(k, 0.0) + 0.5) / total for k in range(len(CIPHERS))), max(Model.damaged, damaged))
+        fits = {r.kind: r.weight for r in rows if r.kind in ("fit", "kept")}
+        usual = fits.get("fit", 0.0) / max(1e-9, fits.get("kept", 0.0))
+        model = Model(bigrams, letters, tuple((counts.get(k, 0.0) + 0.5) / total for k in range(len(CIPHERS))), max(Model.damaged, damaged), usual, foreign)
     return model
 
 
@@ -293,6 +354,9 @@ def _expect(model: Model | None, common: set[str], start: bool):
                     keep = 1.0 / z
                     for k, o in odds.items():
                         weights["cipher", str(k)] += n * o / z
+                if model is not None:
+                    weights["fit", ""] += n * keep * model.fit(left, run, right) / len(run)
+                    weights["kept", ""] += n * keep
                 if keep > 0.01:
                     for pair in _pairs(left, run, right):
                         weights["bigram", pair] += n * keep
@@ -301,24 +365,144 @@ def _expect(model: Model | None, common: set[str], start: bool):
     return step
 
 
-def diagnose(model: Model, value: str) -> tuple[bool, str | None, float, str, int]:
-    """damaged, cipher, score (log-odds of the clearest passage), restored text, characters that stay lost."""
+@dataclass(frozen=True)
+class Learnt:
+    """A substitution learnt for a source: the letter of each unit of ``width`` signs."""
+
+    width: int
+    letters: dict[str, str]
+
+    def decipher(self, run: str) -> str | None:
+        """The run with its known units as letters, None if it holds none."""
+        if self.width == 1:
+            out = run.translate({ord(u): x for u, x in self.letters.items()})
+        else:
+            out, k = "", 0
+            while k < len(run):
+                unit = run[k : k + self.width]
+                out, k = (out + self.letters[unit], k + self.width) if unit in self.letters else (out + run[k], k + 1)
+        return out if out != run else None
+
+
+def learn_table(model: Model, rows: list[tuple[str, str, str, int]], width: int, rounds: int = 20) -> tuple[dict[str, str], float, int]:
+    """(table, mean log-likelihood of a deciphered sign, signs deciphered) of the odd runs of one source.
+
+    Expectation-maximisation over a table from units of ``width`` signs to letters of the language. A unit enters
+    the result if one letter holds 0.7 of its weight and it was seen three times.
+    """
+    single = model._single
+    size = sum(n for x, n in single.items() if x > "\x7f") or 1.0
+    cut_up = [(left, [run[k : k + width] for k in range(0, len(run), width)], right, n) for left, run, right, n in rows if len(run) % width == 0]
+    units = sorted({u for _, us, _, _ in cut_up for u in us})
+    # Letters of the language; rarer ones only if they are not among the odd signs themselves.
+    alphabet = sorted(x for x, n in single.items() if x > "\x7f" and x in ALPHABET and x != LOST and n >= 2e-4 * size and (x in model.letters or x not in units))
+    if not alphabet or not units:
+        return {}, -math.inf, 0
+    at, big = {u: k for k, u in enumerate(units)}, model.bigrams
+    share = np.array([single[x] for x in alphabet]) / size
+    step = np.array([[(big.get(a + b, 0.0) + SMOOTH) / (single[a] + SMOOTH * SYMBOLS) for b in alphabet] for a in alphabet])
+    known = np.ones((len(units), len(alphabet)))
+    for k in range(len(CIPHERS)):
+        for u in units:
+            plain = _deciphered(k, u)
+            if plain in alphabet:
+                known[at[u], alphabet.index(plain)] += 1
+    table = known * share
+    table /= table.sum(axis=1, keepdims=True)
+    enter = {c: np.array([big.get(c + x, 0.0) + SMOOTH for x in alphabet]) for c in {_known(left) for left, _, _, _ in cut_up}}
+    leave = {c: np.array([(big.get(x + c, 0.0) + SMOOTH) / (single[x] + SMOOTH * SYMBOLS) for x in alphabet]) for c in {_known(r) for _, _, r, _ in cut_up}}
+    for _ in range(rounds):
+        counts = np.outer(np.ones(len(units)), share)
+        for left, us, right, n in cut_up:
+            rows_of = [at[u] for u in us]
+            forward = [enter[_known(left)] * table[rows_of[0]]]
+            for k in rows_of[1:]:
+                forward.append((forward[-1] @ step) * table[k])
+                forward[-1] /= forward[-1].sum()
+            backward = leave[_known(right)]
+            for pos in range(len(us) - 1, -1, -1):
+                post = forward[pos] * backward
+                counts[rows_of[pos]] += n * post / post.sum()
+                backward = step @ (backward * table[rows_of[pos]])
+                backward = backward / backward.sum()
+        table = counts / counts.sum(axis=1, keepdims=True)
+    seen = Counter()
+    for _, us, _, n in cut_up:
+        for u in us:
+            seen[u] += n
+    sure = {u: alphabet[int(table[at[u]].argmax())] for u in units if table[at[u]].max() >= 0.7 and seen[u] >= 3}
+    fit = signs = 0
+    for left, us, right, n in cut_up:
+        if all(u in sure for u in us):
+            fit += n * model.fit(left, "".join(sure[u] for u in us), right)
+            signs += n * len(us)
+    return sure, fit / signs if signs else -math.inf, signs
+
+
+def learn_source(model: Model, rows: list[tuple[str, str, str, int]], least_units: int = 4, least_signs: int = 15, worse: float = 1.5) -> Learnt | None:
+    """The substitution behind the odd runs of one source, None if there is no convincing one.
+
+    It must turn at least ``least_units`` units into different letters, ``least_signs`` signs in all and half of
+    the odd signs, and a deciphered sign may fit at most ``worse`` (log-likelihood) less than signs of undamaged text do.
+    """
+    best, covered = None, 0
+    total = sum(n * len(run) for _, run, _, n in rows)
+    for width in (1, 2):
+        table, fit, signs = learn_table(model, rows, width)
+        if len(set(table.values())) >= least_units and signs >= least_signs and 2 * signs * width >= total and fit >= model.usual - worse and signs * width > covered:
+            best, covered = Learnt(width, table), signs * width
+    return best
+
+
+def learn_sources(values: DataFrame, value: str, source: str, model: Model) -> DataFrame:
+    """(source, width, letters): learnt substitutions, for the sources that have one.
+
+    Odd runs are counted per source before they are shuffled; what a task gets of a source are its different
+    contexts, which the alphabet bounds, not its rows. Null sources are one source.
+    """
+    spark = values.sparkSession
+    if not model.foreign:
+        return spark.createDataFrame([], "source string, width int, letters map<string,string>")
+    shared = spark.sparkContext.broadcast(_parts(model))  # bounded by the alphabet
+    signs = "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in sorted(model.foreign)) + "]"
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        local = Model(*shared.value)
+        for pdf in batches:
+            total: Counter = Counter()
+            for s, v in zip(pdf["s"], pdf["v"], strict=True):
+                if v and not v.isascii():
+                    total.update((s, *key) for key in runs(v).elements() if local.odd(*key))
+            yield pd.DataFrame([(*k, n) for k, n in total.items()], columns=["s", "l", "run", "r", "n"])
+
+    rows = values.select(F.col(source).alias("s"), F.col(value).alias("v")).where(F.col("v").rlike(signs))
+    odd = rows.mapInPandas(count, "s string, l string, run string, r string, n bigint").groupBy("s", "l", "run", "r").agg(F.sum("n").alias("n"))
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        got = learn_source(Model(*shared.value), list(pdf[["l", "run", "r", "n"]].itertuples(index=False, name=None)))
+        out = [] if got is None else [(pdf["s"].iloc[0], got.width, got.letters)]
+        return pd.DataFrame(out, columns=["source", "width", "letters"])
+
+    return cut(odd.groupBy("s").applyInPandas(solve, "source string, width int, letters map<string,string>"))
+
+
+def diagnose(model: Model, value: str, learnt: Learnt | None = None, scanned: bool = True) -> tuple[bool, str | None, float, str, int]:
+    """damaged, cipher, score (log-odds of the clearest passage), restored text, lost characters (guessed or left)."""
     seen = runs(value)
     has_lost = any(LOST in run for _, run, _ in seen)
-    evidence: Counter = Counter()
     best, clearest = -math.inf, None
-    scanned = "\n" in value  # paths are not scanned
-    for (left, run, right), n in seen.items():
-        misread = run.translate(MISREAD) if scanned else run
-        slip = max(0.0, model.fit(left, misread, right) - model.fit(left, run, right)) if misread != run else 0.0
-        for k, (gain, _) in model.gains(left, run, right).items():
-            gain -= slip
-            evidence[k] += min(n, 3) * max(gain, -3.0)
-            if (score := gain + model.prior(k)) > best:
-                best, clearest = score, k
-    if best <= 0 and not has_lost:
-        return False, None, best if seen and clearest is not None else 0.0, value, 0
+    for key in seen:
+        top, k, _ = model.weigh(*key, scanned)
+        if top > best:
+            best, clearest = top, k
+    solved = learnt is not None and any(_by_table(model, learnt, *key) for key in seen)
+    if best <= 0 and not has_lost and not solved:
+        return False, None, best if clearest is not None else 0.0, value, 0
     # Within the value: ciphers that its passages support become likely for its other passages too.
+    evidence: Counter = Counter()
+    for key, n in seen.items():
+        for k, gain in model.weigh(*key, scanned)[2]:
+            evidence[k] += (1 + math.log(n)) * max(gain, -3.0)  # repeats of a run are weaker evidence than new ones
     share = {}
     for k, e in evidence.items():
         share[k] = model.prior(k)
@@ -336,40 +520,69 @@ def diagnose(model: Model, value: str) -> tuple[bool, str | None, float, str, in
         for k, (gain, letters) in model.gains(left, run, right).items():
             if gain + share[k] > top:
                 plain, top = letters, gain + share[k]
+        if plain == run and solved:
+            plain = _by_table(model, learnt, left, run, right) or run
         if main is not None:
             plain = model.halved(main, left, plain, right)
         if LOST in plain:
-            unresolved += 0 if model.letters else plain.count(LOST)
+            unresolved += plain.count(LOST)
             plain = model.lost(left, plain, right) if model.letters else plain
         return m[1] + plain
 
-    cipher = CIPHERS[clearest].name if best > 0 else "characters lost in decoding"
+    cipher = CIPHERS[clearest].name if best > 0 else "learnt substitution" if solved else "characters lost in decoding"
     return True, cipher, best if best > 0 else 0.0, RUN.sub(one, value), unresolved
 
 
-def repair(df: DataFrame, value: str, model: Model) -> DataFrame:
+def _by_table(model: Model, learnt: Learnt, left: str, run: str, right: str) -> str | None:
+    """The run by the table of its source, if it is odd and reads like undamaged text so."""
+    if not model.odd(left, run, right):
+        return None
+    plain = learnt.decipher(run)
+    return plain if plain is not None and model.fit(left, plain, right) / len(plain) > model.usual - 5 else None
+
+
+def _parts(model: Model) -> tuple:
+    return model.bigrams, model.letters, model.shares, model.damaged, model.usual, model.foreign
+
+
+def repair(df: DataFrame, value: str, model: Model, source: str | None = None, tables: DataFrame | None = None, scanned: Column | None = None, few_tables: int = 20_000) -> DataFrame:
     """``df`` with damaged, cipher, score, restored and unresolved for the text column ``value``.
 
     ``restored`` is the value itself where it is not damaged, and null for null; lost characters (U+FFFD) are
-    replaced by the letters their neighbours make likeliest, ``unresolved`` counts those that stay. Columns
-    of ``df`` that have the names of new columns are replaced.
+    replaced by the letters their neighbours make likeliest, ``unresolved`` counts them, as a guess may be wrong.
+    Columns of ``df`` that have the names of new columns are replaced. ``tables`` are the substitutions of
+    ``learn_sources`` for the column ``source``. They are broadcast while they are at most ``few_tables``; beyond
+    that the values with odd signs meet them in a join. ``scanned`` tells which values may come from scanned pages
+    (all unless given): there 'ä' may be a misread 'ã'.
     """
-    shared = df.sparkSession.sparkContext.broadcast((model.bigrams, model.letters, model.shares, model.damaged))  # bounded by the alphabet
+    shared = df.sparkSession.sparkContext.broadcast(_parts(model))  # bounded by the alphabet
 
     @F.pandas_udf(RESULT)
-    def check(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def check(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         local = Model(*shared.value)
-        for s in batches:
+        for s, widths, letters, pages in batches:
             if len(local._memo) > 500_000:
                 local._memo.clear()
-            rows = [(False, None, 0.0, v, 0) if not v or v.isascii() else diagnose(local, v) for v in s]
+                local._weighed.clear()
+            rows = []
+            for v, w, x, page in zip(s, widths, letters, pages, strict=True):
+                rows.append((False, None, 0.0, v, 0) if not v or v.isascii() else diagnose(local, v, Learnt(int(w), dict(x)) if x is not None else None, bool(page)))
             yield pd.DataFrame(rows, columns=[f.name for f in RESULT])
 
     rest = [c for c in df.columns if c not in RESULT.names]
-    return df.select(*rest, check(F.col(value)).alias("_r")).select(*rest, "_r.*")
-
-
-def fields_long(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """(key, field_name, value): the non-null values of several text columns, one per row."""
+    rows = df.select(*rest, F.col(value).alias("_value"), F.coalesce(F.lit(True) if scanned is None else scanned, F.lit(True)).alias("_scanned"))
+    n_tables = 0 if tables is None or source is None else tables.count()
+    if n_tables:
+        known = tables.select(F.col("source").alias("_source"), F.col("width").alias("_width"), F.col("letters").alias("_letters"))
+        known = F.broadcast(known) if n_tables <= few_tables else known
+        rows = rows.join(known, F.col(source).eqNullSafe(F.col("_source")), "left")
+    else:
+        rows = rows.select("*", F.lit(0).alias("_width"), F.lit(None).cast("map<string,string>").alias("_letters"))
+    return rows.select(*rest, check("_value", "_width", "_letters", "_scanned").alias("_r")).select(*rest, "_r.*")
+
+
+def fields_long(df: DataFrame, key: str, fields: list[str], source: Column | None = None) -> DataFrame:
+    """(key, field_name, value): the non-null values of several text columns, one per row; with ``source`` if given."""
     parts = [F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value")) for f in fields]
-    return df.where(F.col(key).isNotNull()).select(key, F.explode(F.array(*parts)).alias("_v")).select(key, "_v.*").where("value is not null")
+    extra = [] if source is None else [source.alias("source")]
+    return df.where(F.col(key).isNotNull()).select(key, *extra, F.explode(F.array(*parts)).alias("_v")).select(key, "_v.*", *(["source"] if extra else [])).where("value is not null")

@@ -40,8 +40,11 @@ def p3_share(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p4_repaired(spark: SparkSession, base: str) -> DataFrame:
-    values = encoding.fields_long(read_table(spark, base, "extraction_records"), "id", ["text_content", "filepath"])
-    return encoding.repair(values, "value", encoding.learn(values, "value"))
+    # The source of a value is the tree that its file comes from: one town, one member of the staff.
+    folder = F.regexp_extract("filepath", "^/?[^/]*", 0)
+    values = encoding.fields_long(read_table(spark, base, "extraction_records"), "id", ["text_content", "filepath"], folder)
+    model = encoding.learn(values, "value", source="source")
+    return encoding.repair(values, "value", model, "source", encoding.learn_sources(values, "value", "source", model), F.col("field_name") != "filepath")
 
 
 def p4_found(spark: SparkSession, base: str) -> DataFrame:

@@ -79,3 +79,37 @@ def test_one_source_with_a_large_share_of_the_rows(spark, share):
     out = encoding.repair(df, "t", encoding.learn(df, "t")).collect()
     assert [r.id for r in out if r.damaged != (r.t != r.plain)] == []
     assert sum(r.restored == r.plain for r in out) >= 0.95 * len(out)
+
+
+UNKNOWN = [("utf-8", "cp1251"), ("cp1252", "cp1251"), ("utf-8", "cp866"), ("cp1252", "cp866"), ("cp1252", "cp1257"), ("cp1252", "koi8_r"), ("utf-8", "iso8859_5")]
+
+
+def test_unknown_swaps_are_learnt_per_source(spark, sample):
+    """Swaps of pages that are not listed, in one source each: the mapping is learnt from its texts."""
+    assert not {r for _, r in UNKNOWN} & set(encoding.READ)
+    rows = [(f"ok{k % 9}", t, t) for k, t in enumerate(sample[0][:1200])]
+    for w, r in UNKNOWN:
+        rows += [(f"{w} {r}", t := text(), t.encode(w).decode(r, errors="replace")) for _ in range(40)]
+        rows += [(f"{w} {r}", t := text(), t) for _ in range(10)]
+    names = "Łódź Świętosława Grażyna Ястребов Ёлкин Δημήτρης Öztürk Şahin".split()
+    rows += [("names", t := f"Autor: {names[k % 8]} {names[k % 7]}. " + text(6), t) for k in range(60)]
+    df = spark.createDataFrame([(k, *x) for k, x in enumerate(rows)], "id int, folder string, plain string, t string")
+    model = encoding.learn(df, "t", source="folder")
+    tables = encoding.learn_sources(df, "t", "folder", model)
+    got = encoding.repair(df, "t", model, "folder", tables).collect()
+    assert {r.source for r in tables.collect()} == {f"{w} {r}" for w, r in UNKNOWN}
+    assert not [r.t for r in got if r.damaged and r.t == r.plain]
+    for w, r in UNKNOWN:
+        mine = [x for x in got if x.folder == f"{w} {r}" and x.t != x.plain]
+        assert sum(x.damaged for x in mine) >= 0.98 * len(mine), (w, r)
+        whole = [(a, b) for x in mine for a, b in zip(x.restored.split(), x.plain.split()) if not b.isascii()]
+        assert sum(a == b for a, b in whole) >= 0.9 * len(whole), (w, r, [x for x in whole if x[0] != x[1]][:20])
+    joined = encoding.repair(df, "t", model, "folder", tables, few_tables=0).select("id", "restored").collect()
+    assert sorted(map(tuple, joined)) == sorted((r.id, r.restored) for r in got)
+
+
+def test_a_guess_is_not_resolved_and_line_ends_do_not_matter(sample, spark):
+    model = encoding.learn(sample[2], "t")
+    assert encoding.diagnose(model, "Di\ufffdrio n\ufffd 7")[4] == 2
+    for t in ("prefeitura munic!pal, educaçäo e gestäo", "exercício e acórdäo"):
+        assert encoding.diagnose(model, t)[0] == encoding.diagnose(model, t.replace(" ", "\n"))[0]
