@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from lavra.llm import leaks
 from lavra.llm.leaks import Index, LeakRule
 
@@ -74,8 +76,27 @@ def test_operator_edges(spark):
     assert leaks.find_leaks(df.limit(0), "doc_id", "text", items).count() == 0
 
 
-def test_blocks_of_items_give_the_same(spark):
+def test_many_items_give_the_same_by_joins(spark):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string, answer string")
     df = spark.createDataFrame(list(enumerate(corpus())), "doc_id bigint, text string")
     one, many = (sorted((r.doc_id, r.item_id) for r in leaks.find_leaks(df, "doc_id", "text", items, max_items=m).collect()) for m in (1000, 7))
     assert one == many and one
+
+
+def test_every_leak_holds_a_run_of_equal_words():
+    rule = LeakRule()
+    assert [rule.run(n) for n in (1, 5, 6, 7, 12, 20, 45)] == [1, 5, 6, 3, 6, 5, 5]
+    for _ in range(300):
+        n = R.randint(20, 60)
+        hit = [True] * n
+        for k in R.sample(range(1, n - 1), min(n - 2, rule.allowed(n))):
+            hit[k] = False
+        assert max(map(len, "".join("x" if h else " " for h in hit).split())) >= rule.run(60)
+
+
+def test_a_hundred_thousand_items_need_one_scan(spark):
+    items = spark.range(100_000).select(F.col("id").alias("item_id"), F.concat_ws(" ", *[F.concat(F.lit(a), F.hex(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(5000)))) for k, a in enumerate("abcdefghijklmnopqrstuv")]).alias("text"), F.lit(None).cast("string").alias("answer"))
+    some = {r.item_id: r.text for r in items.where("item_id % 9973 = 0").collect()}
+    docs = [(k, f"{sentence(30)} {t} {sentence(9)}") for k, t in some.items()] + [(-1, sentence(50))]
+    got = leaks.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), "doc_id", "text", items)
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(k, k) for k in sorted(some)]
