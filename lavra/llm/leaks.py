@@ -80,23 +80,22 @@ def runs(codes: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-class _WithoutAccents(dict):
-    """For str.translate: combining marks are dropped; filled as characters occur."""
+class _Comparable(dict):
+    """For str.translate: the comparable form of each character, filled as characters occur. Combining marks are
+    dropped, so composed and decomposed letters come out alike without normalising the text."""
 
-    def __missing__(self, code: int) -> int | None:
-        self[code] = None if unicodedata.combining(chr(code)) else code
+    def __missing__(self, code: int) -> str:
+        plain = unicodedata.normalize("NFKD", normal_form(f"a{chr(code)}a")[1:-1])
+        self[code] = "".join(c for c in plain if not unicodedata.combining(c))
         return self[code]
 
 
-_PLAIN = _WithoutAccents()
+_COMPARABLE = _Comparable()
 
 
 def comparable_words(text: str) -> list[str]:
     """Words without regard to case, accents, punctuation, spacing and look-alike characters."""
-    text = normal_form(text)
-    if not text.isascii():
-        text = unicodedata.normalize("NFKD", text).translate(_PLAIN)
-    return _WORD.findall(text)
+    return _WORD.findall(text.translate(_COMPARABLE))
 
 
 def _maxima(blocks: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
