@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,7 +147,12 @@ def flatten_parts(parts: Column) -> Column:
 
 
 def token_counter(ranks_path: str, pattern: str):
-    """Arrow UDF counting tokens by a rank file; the encoder is built once per worker. Null and empty count 0."""
+    """Arrow UDF counting tokens by a rank file; the encoder is built once per worker. Null and empty count 0.
+
+    The file is a setting, as counts differ by encoding. It is broadcast, so the executors need not see its path.
+    """
+    with open(ranks_path, "rb") as f:
+        shared = SparkSession.active().sparkContext.broadcast(f.read())  # fixed by the public vocabulary, below 2 MB
 
     @F.pandas_udf(T.IntegerType())
     def count(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -155,8 +160,7 @@ def token_counter(ranks_path: str, pattern: str):
 
         import tiktoken
 
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())}
         encoding = tiktoken.Encoding("counter", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for s in blocks:
             yield pd.Series([len(encoding.encode_ordinary(t)) if t else 0 for t in s], dtype="int32")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import groupby
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lavra.session import cut, shuffle_partitions
+from lavra.sources import store
 
 BATCH_SIZE = 200
 #: Fields that are not published.
@@ -45,8 +50,27 @@ def next_batch(existing: DataFrame) -> int:
     return 0 if last is None else int(last) + 1
 
 
-def write_jsonl(batches: DataFrame, folder: str) -> None:
-    """One folder per batch with JSON lines, null fields written and non-ASCII kept."""
+def write_jsonl(batches: DataFrame, folder: str, *order: str) -> int:
+    """Write each batch as ``batch_%04d.jsonl``, null fields written and non-ASCII kept; returns the rows written.
+
+    A batch lies in one task, so its file is written once and as a whole; a task that is run again writes the same
+    file. Lines follow ``order`` inside a batch.
+    """
     fields = [c for c in batches.columns if c != "batch"]
-    lines = batches.select("batch", F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
-    lines.repartition("batch").write.partitionBy("batch").mode("append").text(folder)
+    lines = batches.select(batch_name(F.col("batch")).alias("_name"), "batch", *order, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("_line"))
+    placed = lines.repartition("batch").sortWithinPartitions("batch", *order).select("_name", "_line")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lines = ((n, x) for pdf in frames for n, x in pdf.itertuples(index=False))
+        for name, group in groupby(lines, lambda row: row[0]):
+            text = [x for _, x in group]  # one batch
+            store.write(store.join(folder, name), ("".join(f"{x}\n" for x in text).encode("utf-8"),))
+            yield pd.DataFrame({"rows": [len(text)]})
+
+    return placed.mapInPandas(run, "rows bigint").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+
+
+def write_texts(records: DataFrame, folder: str, key: str = "id", text: str = "text_content") -> DataFrame:
+    """(name, size, sha256, error) of the text files ``<key>.txt`` written by the tasks, one per record with a text."""
+    named = records.select(F.concat(F.col(key), F.lit(".txt")).alias("_name"), F.col(text).alias("_text"))
+    return cut(store.write_texts(named, "_name", "_text", folder))

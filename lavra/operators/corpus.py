@@ -20,6 +20,11 @@ def distinct_extensions(files: DataFrame, path: str) -> DataFrame:
     return files.select(paths.suffix(paths.basename(F.col(path))).alias("format")).where("format <> ''").distinct().orderBy("format")
 
 
+def extension_groups(files: DataFrame, path: str) -> DataFrame:
+    """(groups): how many different extensions there are, files without one being a group of their own."""
+    return files.agg(F.count_distinct(F.coalesce(paths.suffix(paths.basename(F.col(path))), F.lit(""))).alias("groups"))
+
+
 def first_segments(keys: DataFrame, key: str) -> DataFrame:
     """(prefix): distinct first path segments of keys that lie in a folder."""
     return keys.where(F.col(key).contains("/")).select(F.concat(F.substring_index(key, "/", 1), F.lit("/")).alias("prefix")).distinct()

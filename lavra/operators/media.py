@@ -72,17 +72,67 @@ def document_text(recognised: DataFrame, key: str, folder: Column) -> DataFrame:
 
 
 def pictures(elements: DataFrame, key: str, order: str, page: str, image: str) -> DataFrame:
-    """(key, n, page, name, image): pictures of a document numbered in order; elements without an image don't count."""
+    """(key, n, page, name, image): pictures of a document numbered in order from 0; elements without an image don't count."""
     from pyspark.sql import Window
 
     w = Window.partitionBy(key).orderBy(page, order)  # a document's pictures
-    rows = elements.where(F.col(image).isNotNull()).withColumn("n", F.row_number().over(w))
+    rows = elements.where(F.col(image).isNotNull()).withColumn("n", F.row_number().over(w) - 1)
     return rows.select(key, "n", page, F.format_string("picture-%d-pg_%d.png", "n", page).alias("name"), image)
 
 
 def full_pages(page_rows: DataFrame, key: str) -> DataFrame:
-    """(key, page_num, name, image): whole pages as pictures."""
-    return page_rows.where("image is not null").select(key, "page_num", F.format_string("page-%d.png", "page_num").alias("name"), "image")
+    """(key, page_num, name, image): whole pages as pictures, named after their document."""
+    return page_rows.where("image is not null").select(key, "page_num", F.format_string("%s-%d_complete.png", F.col(key).cast("string"), "page_num").alias("name"), "image")
+
+
+def crops(refs: DataFrame, page_rows: DataFrame, key: str, crop: Callable[[bytes, tuple[float, float, float, float]], bytes]) -> DataFrame:
+    """(key, page_num, img_no, name, image, error): the pictures that image references point to, cut from their pages.
+
+    ``refs`` as from ``images.image_refs``, ``crop(page image, box)`` is an imaging function to be plugged in. A
+    reference without a box or page gives no row; a crop that fails has its error and no image.
+    """
+    boxes = refs.where("x0 is not null and y0 is not null and x1 is not null and y1 is not null")
+    both = boxes.join(page_rows.where("image is not null").select(key, "page_num", "image"), [key, "page_num"])
+
+    @F.pandas_udf("image binary, error string")
+    def cut_out(image: pd.Series, x0: pd.Series, y0: pd.Series, x1: pd.Series, y1: pd.Series) -> pd.DataFrame:
+        out = []
+        for data, *box in zip(image, x0, y0, x1, y1, strict=True):
+            try:
+                out.append((crop(data, tuple(box)), None))
+            except Exception as e:  # noqa: BLE001 - one crop must not fail its page
+                out.append((None, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(out, columns=["image", "error"])
+
+    return both.select(key, "page_num", "img_no", F.col("crop").alias("name"), cut_out("image", "x0", "y0", "x1", "y1").alias("_c")).select(key, "page_num", "img_no", "name", "_c.*")
+
+
+def as_png(files: DataFrame, image: str, encode: Callable[[bytes], bytes]) -> DataFrame:
+    """``files`` with ``png`` and ``png_error``: pictures re-encoded as RGB PNG by the function plugged in."""
+
+    @F.pandas_udf("png binary, png_error string")
+    def run(s: pd.Series) -> pd.DataFrame:
+        out = []
+        for data in s:
+            try:
+                out.append((None if data is None else encode(data), None))
+            except Exception as e:  # noqa: BLE001
+                out.append((None, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(out, columns=["png", "png_error"])
+
+    rest = [c for c in files.columns if c not in ("png", "png_error")]
+    return files.select(*rest, run(image).alias("_p")).select(*rest, "_p.*")
+
+
+def ffmpeg_plan(source: str, folder: str) -> dict[str, list[str]]:
+    """Command lines for a video: its sound as mono 16 kHz MP3, that sound in segments, and frames at scene changes."""
+    # The options each step needs.
+    start, sound = ["ffmpeg", "-hide_banner", "-loglevel", "error"], f"{folder}/audio.mp3"
+    return {
+        "audio": [*start, "-i", source, "-vn", "-ac", "1", "-ar", "16000", "-q:a", "4", sound, "-y"],
+        "segments": [*start, "-i", sound, "-f", "segment", "-segment_time", str(AUDIO_SEGMENT_SECONDS), "-c", "copy", f"{folder}/chunk_%04d.mp3", "-y"],
+        "frames": [*start, "-i", source, "-vf", f"select='gt(scene,{SCENE_THRESHOLD})',scale={FRAME_WIDTH}:-1", "-vsync", "vfr", "-frames:v", str(MAX_FRAMES), f"{folder}/frame_%04d.png", "-y"],
+    }
 
 
 def audio_segments(files: DataFrame, key: str, size: str, seconds: str) -> DataFrame:

@@ -1,13 +1,14 @@
-"""Versioned releases of the final batches in a local or shared folder, with a card and a manifest."""
+"""Versioned releases of the final batches in a shared folder or object store, with a card and a manifest."""
 
 from __future__ import annotations
 
-import hashlib
 import json
-import shutil
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lavra.sources import objects, store
 
 #: What each pipeline is published as.
 TARGETS = {"docling": ("docling-1", "docling"), "deepseek": ("deepseek-ocr-2", None)}
@@ -42,25 +43,26 @@ def card(name: str, pipeline: str, version: str, schema: DataFrame | None = None
 def publish(source: str, target: str, name: str, pipeline: str, version: str, replace: bool = False) -> dict:
     """Copy the files of a batch folder into ``target/data`` and write card, manifest and tag.
 
-    ``replace`` removes the data of earlier versions first; otherwise files are added. A version is published
-    once: its tag must not exist.
+    The tasks copy the files and take their digests in the same pass; names and digests are written as JSON lines
+    in ``target/manifests/<tag>``, and only their number comes to the driver. ``replace`` removes the data of
+    earlier versions first; otherwise files are added. A version is published once: its tag must not exist.
     """
-    root, data = Path(target), Path(target, "data")
+    spark = SparkSession.builder.getOrCreate()
     label = tag(version, TARGETS[pipeline][1])
-    marks = root / "tags"
-    if (marks / label).exists():
+    data, manifest, mark = (store.join(target, x) for x in ("data", f"manifests/{label}", f"tags/{label}"))
+    if store.exists(mark):
         raise FileExistsError(label)
-    if replace and data.exists():
-        shutil.rmtree(data)
-    data.mkdir(parents=True, exist_ok=True)
-    marks.mkdir(exist_ok=True)
-    files = {}
-    for path in sorted(p for p in Path(source).rglob("*") if p.is_file() and not p.name.startswith(("_", "."))):
-        to = data / path.relative_to(source)
-        to.parent.mkdir(parents=True, exist_ok=True)
-        shutil.copyfile(path, to)
-        files[to.relative_to(root).as_posix()] = hashlib.sha256(path.read_bytes()).hexdigest()
-    (root / "README.md").write_text(card(name, pipeline, version, history=sorted(p.name for p in marks.iterdir())), encoding="utf-8")
-    manifest = {"name": name, "pipeline": pipeline, "version": version, "tag": label, "replaced": replace, "files": files}
-    (marks / label).write_text(json.dumps(manifest, ensure_ascii=False, indent=2), encoding="utf-8")
-    return manifest
+    if replace:
+        store.delete(data)
+    listed = objects.list_keys(spark, source).select("key", F.col("key").alias("to"))
+    store.transfer(listed, "key", "to", source, data).select(F.concat(F.lit("data/"), "key").alias("file"), "size", "sha256", "error").write.mode("overwrite").json(manifest)
+    files = spark.read.schema("file string, size bigint, sha256 string, error string").json(manifest)
+    counts = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("error").alias("failed")).first()
+    if counts.failed:
+        raise OSError(f"{counts.failed} files could not be copied; see {manifest}")
+    system, p = store.at(store.join(target, "tags"))
+    earlier = sorted(f.base_name for f in system.get_file_info(fs.FileSelector(p, allow_not_found=True)))  # one per version
+    store.write(store.join(target, "README.md"), [card(name, pipeline, version, history=earlier).encode("utf-8")])
+    out = {"name": name, "pipeline": pipeline, "version": version, "tag": label, "replaced": replace, "files": counts.n, "bytes": counts.bytes}
+    store.write(mark, [json.dumps(out, ensure_ascii=False, indent=2).encode("utf-8")])
+    return out

@@ -9,18 +9,25 @@ plugged in.
 from __future__ import annotations
 
 import base64
+import gc
 import traceback
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lavra.functions import text as texts
+
 Extractor = Callable[[bytes, str], tuple[str | None, int | None]]
 Factory = Callable[[], Extractor]
-RESULT = T.StructType([T.StructField("content", T.StringType()), T.StructField("page_count", T.IntegerType()), T.StructField("error", T.StringType())])
+RESULT = T.StructType(
+    [T.StructField("content", T.StringType()), T.StructField("page_count", T.IntegerType()), T.StructField("error", T.StringType())]
+    + [T.StructField("started", T.TimestampType()), T.StructField("finished", T.TimestampType()), T.StructField("seconds", T.DoubleType())]
+)
 
 
 def _stand_in(kind: str) -> Factory:
@@ -34,6 +41,56 @@ def raw_text(data: bytes, name: str) -> tuple[str, None]:
     return data.decode("utf-8", errors="replace"), None
 
 
+def html(data: bytes, name: str) -> tuple[str, None]:
+    return texts.parse_html(data.decode("utf-8", errors="replace")), None
+
+
+def xml(data: bytes, name: str) -> tuple[str, None]:
+    return texts.parse_xml(data.decode("utf-8", errors="replace")), None
+
+
+def out_of_memory(e: Exception) -> bool:
+    """Whether an engine has run out of memory, its own or that of its device."""
+    return isinstance(e, MemoryError) or "out of memory" in str(e).lower()
+
+
+def with_retry(first: Factory, second: Factory, when: Callable[[Exception], bool] = out_of_memory) -> Factory:
+    """An extractor that hands a file to a second engine (one without a graphics card, say) where the first one fails
+    in the way ``when`` tells; the second engine is built when it is first needed."""
+
+    def make() -> Extractor:
+        main, spare = first(), []
+
+        def run(data: bytes, name: str):
+            try:
+                return main(data, name)
+            except Exception as e:  # noqa: BLE001 - other failures are passed on
+                if not when(e):
+                    raise
+            gc.collect()
+            if not spare:
+                spare.append(second())
+            return spare[0](data, name)
+
+        return run
+
+    return make
+
+
+def by_page(pages: Callable[[bytes, str], Iterator[str]]) -> Factory:
+    """An extractor from an engine that gives the Markdown of one page after the other: each page is followed by a
+    blank line, and the pages are counted."""
+
+    def make() -> Extractor:
+        def run(data: bytes, name: str) -> tuple[str, int]:
+            got = [f"{page}\n\n" for page in pages(data, name)]
+            return "".join(got), len(got)
+
+        return run
+
+    return make
+
+
 @dataclass
 class Extractors:
     """Factories by route. ``document`` gets office files converted to PDF if ``to_pdf`` is given."""
@@ -43,10 +100,12 @@ class Extractors:
     audio: Factory = field(default_factory=lambda: _stand_in("audio"))
     video: Factory = field(default_factory=lambda: _stand_in("video"))
     raw_text: Factory = field(default=lambda: raw_text)
+    html: Factory = field(default=lambda: html)
+    xml: Factory = field(default=lambda: xml)
     to_pdf: Callable[[bytes, str], bytes] | None = None
 
     def named(self) -> dict[str, Factory]:
-        return {"document": self._document, "image": self.image, "audio": self.audio, "video": self.video, "raw_text": self.raw_text}
+        return {"document": self._document, "image": self.image, "audio": self.audio, "video": self.video, "raw_text": self.raw_text, "html": self.html, "xml": self.xml}
 
     def _document(self) -> Extractor:
         inner, to_pdf = self.document(), self.to_pdf
@@ -56,7 +115,8 @@ class Extractors:
 
 
 def extract(extractors: Extractors, route: Column, content: Column, name: Column) -> Column:
-    """(content, page_count, error) of each file by its route; null for routes without an extractor.
+    """(content, page_count, error, started, finished, seconds) of each file by its route; null for routes without an
+    extractor. The times are those of this file alone.
 
     Any failure becomes the row's error with its traceback; an extractor that returns no text has failed.
     """
@@ -69,18 +129,21 @@ def extract(extractors: Extractors, route: Column, content: Column, name: Column
             rows = []
             for r, data, n in zip(routes, contents, names, strict=True):
                 if r not in factories:
-                    rows.append((None, None, None))
+                    rows.append((None,) * 6)
                     continue
+                began = datetime.now(timezone.utc)
                 try:
                     if r not in built:
                         built[r] = factories[r]()
                     text, pages = built[r](data or b"", n)
                     if text is None:
                         raise ValueError("the extractor returned no text")
-                    rows.append((text, pages, None))
+                    got = (text, pages, None)
                 except Exception:  # noqa: BLE001 - whatever goes wrong belongs to this file
-                    rows.append((None, None, traceback.format_exc()))
-            yield pd.DataFrame(rows, columns=RESULT.names).astype({"page_count": "Int32"})
+                    got = (None, None, traceback.format_exc())
+                ended = datetime.now(timezone.utc)
+                rows.append((*got, began, ended, (ended - began).total_seconds()))
+            yield pd.DataFrame(rows, columns=RESULT.names).astype({"page_count": "Int32", "started": "datetime64[us, UTC]", "finished": "datetime64[us, UTC]", "seconds": "float64"})
 
     return run(route, content, name)
 

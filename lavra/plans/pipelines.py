@@ -14,22 +14,22 @@ RECORD = "id string, pipeline string, filepath string, file_format string, statu
 
 
 def utc_now() -> Column:
-    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    return _iso(F.current_timestamp())
+
+
+def _iso(c: Column) -> Column:
+    """A moment as ISO 8601 in UTC, whatever the session's time zone."""
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
 def extracted(df: DataFrame, extractors: seams.Extractors, count_tokens) -> DataFrame:
-    """``df`` (route, content, name) with text, page_count, error and tokens_count.
+    """``df`` (route, content, name) with text, page_count, error, tokens_count, and the times of each file.
 
-    HTML and XML are read here, the other routes by their extractors; each row calls the one it needs, as the
-    others get null. Columns derived from the content come after every filter and anti-join of the caller.
+    Columns derived from the content come after every filter and anti-join of the caller.
     """
-    raw = text.utf8(F.col("content"))
-    page = F.when(F.col("route") == "html", raw)
-    doc = F.when(F.col("route") == "xml", raw)
-    other = F.when(~F.col("route").isin("html", "xml"), F.col("route"))
-    out = df.withColumns({"_html": text.html_to_text_any(page), "_xml": text.xml_to_json(doc), "_other": seams.extract(extractors, other, F.col("content"), F.col("name"))})
-    out = out.withColumns({"text": F.coalesce("_html", "_xml.content", "_other.content"), "page_count": F.col("_other.page_count"), "error": F.coalesce("_xml.error", "_other.error")})
-    return out.withColumn("tokens_count", count_tokens(F.col("text"))).drop("_html", "_xml", "_other", "content")
+    out = df.withColumn("_out", seams.extract(extractors, F.col("route"), F.col("content"), F.col("name")))
+    out = out.withColumns({"text": F.col("_out.content"), "page_count": F.col("_out.page_count"), "error": F.col("_out.error"), "started": _iso(F.col("_out.started")), "finished": _iso(F.col("_out.finished")), "seconds": F.col("_out.seconds")})
+    return out.withColumn("tokens_count", count_tokens(F.col("text"))).drop("_out", "content")
 
 
 def _main_files(spark: SparkSession, folder: str, base: str) -> DataFrame:
@@ -63,11 +63,12 @@ def staff_main(spark: SparkSession, folder: str, done: DataFrame | None, extract
     return rows.select("id", *fields, F.col("name").alias("nome_arquivo"), F.col("relative_path").alias("caminho_relativo"), F.col("ext").alias("file_format"), F.col("text").alias("text_content"), "tokens_count", "page_count", F.lit("EXTRACTED").alias("status"), utc_now().alias("extraction_timestamp"))
 
 
-def run_main(spark: SparkSession, folder: str, output: str, kind: str, extractors: seams.Extractors, count_tokens) -> DataFrame:
+def run_main(spark: SparkSession, folder: str, output: str, kind: str, extractors: seams.Extractors, count_tokens, overwrite: bool = False) -> DataFrame:
     """One run of a main: new rows are appended to the JSON log, and the whole log is written as Parquet.
 
     A second run over the same tree adds nothing. Old rows are kept, and both the skipping of done files and the
-    export read the log in the same tolerant way.
+    export read the log in the same tolerant way. With ``overwrite`` log and export hold the new rows only, and a
+    run without new rows leaves both as they are.
     """
     log = f"{output}.jsonl"
     schema = "id string, " + ("municipio string, pasta_origem string" if kind == "gazette" else "docente string, ano string, mes string, dia string")
@@ -75,7 +76,12 @@ def run_main(spark: SparkSession, folder: str, output: str, kind: str, extractor
     schema += ", error string" if kind == "gazette" else ""
     done = cut(jsonl.processed_ids(spark, log)) if _exists(spark, log) else None
     main = gazette_main if kind == "gazette" else staff_main
-    main(spark, folder, done, extractors, count_tokens).write.mode("append").json(log)
+    rows = main(spark, folder, done, extractors, count_tokens)
+    if overwrite:
+        rows = cut(rows)  # extracted once, for the test and for the log
+        if rows.isEmpty():
+            return spark.read.parquet(f"{output}.parquet") if _exists(spark, f"{output}.parquet") else spark.createDataFrame([], schema)
+    rows.write.mode("overwrite" if overwrite else "append").json(log)
     everything = jsonl.read(spark, log, schema)
     everything.write.mode("overwrite").parquet(f"{output}.parquet")
     return spark.read.parquet(f"{output}.parquet")
@@ -87,17 +93,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def work(spark: SparkSession, folder: str, pipeline: str, table: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Logical files a run has to extract, with id, name, ext and route, and the archives that could not be read."""
+    logical = archives.logical_files(files.scan(spark, folder))
+    broken = logical.where("error is not null").select("relative_path", "error")
+    named = logical.where("error is null").select("relative_path", "content").withColumn("name", paths.basename(F.col("relative_path"))).withColumn("ext", paths.suffix(F.col("name")))
+    keyed = named.withColumns({"id": text.record_id(F.col("content"), F.col("relative_path")), "pipeline": F.lit(pipeline), "route": route.route(F.col("ext"), pipeline)})
+    return status.to_process(keyed, table) if table is not None else keyed, broken
+
+
 def extraction_run(spark: SparkSession, folder: str, pipeline: str, table: DataFrame | None, lookup: DataFrame | None, extractors: seams.Extractors, count_tokens) -> tuple[DataFrame, DataFrame]:
     """Records of a library pipeline over a tree with archives, and the archives that could not be read.
 
-    Files with a final status in ``table`` are skipped before extraction. Failed files are records too.
+    Files with a final status in ``table`` are skipped before extraction. Failed files are records too. Start, end
+    and duration are measured for each file.
     """
-    logical, broken = archives.logical_files(files.scan(spark, folder))
-    named = logical.withColumn("name", paths.basename(F.col("relative_path"))).withColumn("ext", paths.suffix(F.col("name")))
-    keyed = named.withColumns({"id": text.record_id(F.col("content"), F.col("relative_path")), "pipeline": F.lit(pipeline), "route": route.route(F.col("ext"), pipeline)})
-    todo = status.to_process(keyed, table) if table is not None else keyed
-    started = todo.withColumn("extraction_started", utc_now())
-    rows = extracted(started, extractors, count_tokens)
+    todo, broken = work(spark, folder, pipeline, table)
+    rows = extracted(todo, extractors, count_tokens)
     if lookup is not None:
         rows = metadata.attach(rows, "relative_path", lookup, F.to_json(F.struct(*[c for c in lookup.columns if c != "key"])))
     else:
@@ -105,12 +117,47 @@ def extraction_run(spark: SparkSession, folder: str, pipeline: str, table: DataF
     uris = paths.output_uris(F.col("id"), pipeline)
     out = rows.select(
         "id", "pipeline", F.col("relative_path").alias("filepath"), F.col("ext").alias("file_format"), F.when(F.col("error").isNull(), "EXTRACTED").otherwise("FAILED").alias("status"),
-        "tokens_count", "page_count", uris["text_file_s3_uri"].alias("text_file_s3_uri"), uris["images_s3_uri"].alias("images_s3_uri"), "extraction_started", utc_now().alias("extraction_finished"),
-        F.lit(0.0).alias("extraction_duration_in_seconds"), "class_metadata", F.col("error").alias("error_log"), F.col("text").alias("text_content"), route.lossy(F.col("ext"), pipeline).alias("lossy_decode"),
+        "tokens_count", "page_count", uris["text_file_s3_uri"].alias("text_file_s3_uri"), uris["images_s3_uri"].alias("images_s3_uri"), F.col("started").alias("extraction_started"), F.col("finished").alias("extraction_finished"),
+        F.col("seconds").alias("extraction_duration_in_seconds"), "class_metadata", F.col("error").alias("error_log"), F.col("text").alias("text_content"), route.lossy(F.col("ext"), pipeline).alias("lossy_decode"),
     )
     return out, broken
 
 
+def run_library(spark: SparkSession, folder: str, pipeline: str, tables: str, lookup: DataFrame | None, extractors: seams.Extractors, count_tokens) -> DataFrame:
+    """A whole run against a status table in two phases; returns the table.
+
+    ``tables`` is a folder of versions of the table. First every file to be extracted is written as IN_PROGRESS,
+    then its record replaces that row. A run that dies in between leaves the IN_PROGRESS rows, and the next run takes
+    those files up again.
+    """
+    known = newest(spark, tables)
+    todo, _ = work(spark, folder, pipeline, known)
+    begun = todo.select("id", "pipeline", F.col("relative_path").alias("filepath"), F.col("ext").alias("file_format"), F.lit("IN_PROGRESS").alias("status"), utc_now().alias("extraction_started"))
+    empty = spark.createDataFrame([], RECORD).drop("lossy_decode")
+    started = save_records(empty.unionByName(begun, allowMissingColumns=True), next_version(spark, tables), known)
+    records, _ = extraction_run(spark, folder, pipeline, started, lookup, extractors, count_tokens)
+    return save_records(records, next_version(spark, tables), started)
+
+
+def _versions(spark: SparkSession, tables: str) -> list[int]:
+    """Numbers of the finished versions in a folder; one entry per run."""
+    if not _exists(spark, tables):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(tables)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    names = [f.getPath().getName() for f in found]
+    return sorted(int(n.removeprefix("v")) for n in names if n.startswith("v") and n[1:].isdigit() and _exists(spark, f"{tables}/{n}/_SUCCESS"))
+
+
+def newest(spark: SparkSession, tables: str) -> DataFrame | None:
+    done = _versions(spark, tables)
+    return spark.read.parquet(f"{tables}/v{done[-1]}") if done else None
+
+
+def next_version(spark: SparkSession, tables: str) -> str:
+    return f"{tables}/v{max(_versions(spark, tables), default=0) + 1}"
+
+
 def profile(spark: SparkSession, folder: str) -> DataFrame:
     """Extension profile of a tree; no content is read."""
     from lavra.operators import corpus

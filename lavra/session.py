@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -22,7 +24,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured and not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="lavra-checkpoint-"))
+    if not configured:  # a local master alone: one machine holds everything, and the folder goes with the process
+        configured = tempfile.mkdtemp(prefix="lavra-checkpoint-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
+    sc.setCheckpointDir(configured)
 
 
 def cut(df: DataFrame) -> DataFrame:

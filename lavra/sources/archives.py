@@ -12,11 +12,9 @@ from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-#: Office formats are zip files inside but are documents here.
-OFFICE = (".docx", ".xlsx", ".pptx", ".odt", ".ods", ".odp", ".doc", ".xls", ".ppt", ".pps", ".ppsx", ".rtf")
+from lavra.operators.route import OFFICE
+
 _RAR = b"Rar!\x1a\x07"
 Unpack = Callable[[bytes], list[tuple[str, bytes]]]
 
@@ -41,6 +39,7 @@ def _is_tar(content: bytes) -> bool:
 
 
 def is_archive(content: bytes | None, ext: str | None) -> bool:
+    """By content; office formats are zip files inside but are documents here."""
     return ext not in OFFICE and kind(content) is not None
 
 
@@ -72,34 +71,67 @@ def members(content: bytes, rar: Unpack = unpack_rar) -> Iterator[tuple[str, byt
         raise ValueError("not an archive that can be unpacked")
 
 
-@F.pandas_udf(T.BooleanType())
-def archive_flag(content: pd.Series, ext: pd.Series) -> pd.Series:
-    return pd.Series([is_archive(c, e) for c, e in zip(content, ext, strict=True)], dtype=bool)
+def sound_members(content: bytes, rar: Unpack = unpack_rar) -> Iterator[tuple[str, bytes]]:
+    """The members of an archive that can be read to its end; a damaged one raises before it gives any member.
+
+    Zip and tar files are read twice, so that one member at a time is in memory.
+    """
+    if content.startswith(_RAR):
+        yield from list(members(content, rar))
+        return
+    for _ in members(content, rar):
+        pass
+    yield from members(content, rar)
+
+
+def _frames(rows: Iterator[tuple[str, bytes | None, str | None]], columns: list[str], budget: int = 16 * 1024 * 1024) -> Iterator[pd.DataFrame]:
+    """Rows in frames of some ``budget`` bytes of content."""
+    out, size = [], 0
+    for row in rows:
+        out.append(row)
+        size += len(row[1] or b"")
+        if size >= budget or len(out) >= 10_000:
+            yield pd.DataFrame(out, columns=columns)
+            out, size = [], 0
+    if out:
+        yield pd.DataFrame(out, columns=columns)
+
+
+def _unpacked(rel: str, data: bytes | None, rar: Unpack) -> Iterator[tuple[str, bytes | None, str | None]]:
+    try:
+        for name, inner in sound_members(data or b"", rar):
+            yield f"{rel}/{name}", inner, None
+    except Exception as e:  # noqa: BLE001 - any damage of an archive is that archive's error
+        yield rel, None, f"{type(e).__name__}: {e}"
 
 
 def expand(archives: DataFrame, relative: str, content: str, rar: Unpack = unpack_rar) -> DataFrame:
     """(relative, data, error): one row per member, named archive/inner, in the order of names.
 
-    Members are not expanded again. An archive that can't be read gives one row with null data and its error,
-    to be sent to an error table; an empty archive gives no row. One member at a time is handed to Spark.
+    Members are not expanded again. An archive that can't be read to its end gives no member but one row with
+    null data and its error, to be sent to an error table; an empty archive gives no row.
     """
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for rel, data in pdf.itertuples(index=False):
-                try:
-                    for name, inner in members(data or b"", rar):
-                        yield pd.DataFrame([(f"{rel}/{name}", inner, None)], columns=["relative", "data", "error"])
-                except Exception as e:  # noqa: BLE001 - any damage of an archive is that archive's error
-                    yield pd.DataFrame([(rel, None, f"{type(e).__name__}: {e}")], columns=["relative", "data", "error"])
+        rows = (row for pdf in batches for rel, data in pdf.itertuples(index=False) for row in _unpacked(rel, data, rar))
+        yield from _frames(rows, ["relative", "data", "error"])
 
     return archives.select(relative, content).mapInPandas(unpack, "relative string, data binary, error string")
 
 
-def logical_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Plain files and members of archives as (relative_path, content), and (relative_path, error) of broken archives."""
-    flagged = files.withColumn("_archive", archive_flag("content", "ext"))
-    inner = expand(flagged.where("_archive"), "relative_path", "content")
-    plain = flagged.where("not _archive").select("relative_path", "content")
-    good = inner.where("error is null").select(F.col("relative").alias("relative_path"), F.col("data").alias("content"))
-    return plain.unionByName(good), inner.where("error is not null").select(F.col("relative").alias("relative_path"), "error")
+def logical_files(files: DataFrame, rar: Unpack = unpack_rar) -> DataFrame:
+    """(relative_path, content, error): plain files, members of archives, and archives that can't be read with their
+    error and no content. Each file is read once; a file that is no archive passes through."""
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows() -> Iterator[tuple[str, bytes | None, str | None]]:
+            for pdf in batches:
+                for rel, ext, data in pdf.itertuples(index=False):
+                    if is_archive(data, ext):
+                        yield from _unpacked(rel, data, rar)
+                    else:
+                        yield rel, data, None
+
+        yield from _frames(rows(), ["relative_path", "content", "error"])
+
+    return files.select("relative_path", "ext", "content").mapInPandas(unpack, "relative_path string, content binary, error string")

@@ -8,7 +8,9 @@ The wanted extensions are an option, and filters on ``ext`` are pushed into the
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
@@ -16,11 +18,22 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, In
 META = "path string, relative_path string, name string, ext string, length bigint"
 
 
+#: Entries beyond which a folder is shared out by name instead of being listed on the driver.
+WIDE = 10_000
+
+
 class _Share(InputPartition):
-    """Folders to walk whole, and single files."""
+    """Folders to walk whole, single files, and parts of wide folders: (folder, part, parts)."""
+
+    def __init__(self, folders: list[str], files: list[str], parts: list[tuple[str, int, int]] = ()):
+        self.folders, self.files, self.parts = folders, files, parts
 
-    def __init__(self, folders: list[str], files: list[str]):
-        self.folders, self.files = folders, files
+
+def _entries(folder: str, most: int) -> list[os.DirEntry] | None:
+    """The entries of a folder, None if there are more than ``most``."""
+    with os.scandir(folder) as entries:
+        out = list(islice(entries, most + 1))
+    return out if len(out) <= most else None
 
 
 def extension_of(name: str) -> str:
@@ -34,29 +47,41 @@ class TreeReader(DataSourceReader):
         self.root, self.content, self.shares, self.max_bytes, self.extensions = root, content, shares, max_bytes, extensions
 
     def partitions(self) -> list[_Share]:
-        folders, files = [self.root], []
+        folders, files, parts = [self.root], [], []
         while folders and len(folders) < self.shares:
             deeper: list[str] = []
             for d in folders:
-                with os.scandir(d) as entries:
-                    for e in entries:
-                        if e.is_dir(follow_symlinks=False):
-                            deeper.append(e.path)
-                        elif e.is_file():
-                            files.append(e.path)
+                entries = _entries(d, WIDE)
+                if entries is None:  # the tasks list it, each keeps the names of its part
+                    parts += [(d, k, self.shares) for k in range(self.shares)]
+                    continue
+                for e in entries:
+                    if e.is_dir(follow_symlinks=False):
+                        deeper.append(e.path)
+                    elif e.is_file():
+                        files.append(e.path)
             if not deeper:
                 folders = []
                 break
             folders = deeper
         folders.sort()
         files.sort()
-        n = max(1, min(self.shares, len(folders) + len(files)))
-        return [_Share(folders[k::n], files[k::n]) for k in range(n)]
+        n = max(1, min(self.shares, len(folders) + len(files) + len(parts)))
+        return [_Share(folders[k::n], files[k::n], parts[k::n]) for k in range(n)]
 
     def read(self, share: _Share) -> Iterator[tuple]:
         def walk() -> Iterator[str]:
             yield from share.files
-            for d in share.folders:
+            folders = list(share.folders)
+            for d, part, n in share.parts:
+                with os.scandir(d) as entries:
+                    for e in entries:
+                        if zlib.crc32(os.fsencode(e.name)) % n == part:
+                            if e.is_dir(follow_symlinks=False):
+                                folders.append(e.path)
+                            elif e.is_file():
+                                yield e.path
+            for d in folders:
                 for at, _, names in os.walk(d):
                     for name in names:
                         yield os.path.join(at, name)

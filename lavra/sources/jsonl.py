@@ -36,6 +36,14 @@ def read(spark: SparkSession, path: str, schema: str | T.StructType, strict: boo
     return parse(spark.read.text(path), "value", schema)
 
 
+def broken_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, text): lines that are no JSON, with their numbers from 1. A file is read as a whole for its numbers."""
+    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+    lines = whole.select("file", F.posexplode(F.split("value", "\n")).alias("_n", "text")).select("file", (F.col("_n") + 1).alias("line"), "text")
+    marked = parse(lines.withColumn("_raw", F.col("text")), "text", "id STRING", keep_broken=True)
+    return marked.where("broken is not null").select("file", "line", F.col("_raw").alias("text"))
+
+
 def processed_ids(spark: SparkSession, path: str) -> DataFrame:
     """(id): distinct ids of an output log, to be skipped by a later run."""
     return read(spark, path, "id STRING").where(F.col("id").isNotNull()).distinct()

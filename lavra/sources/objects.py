@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lavra.sources import store
+
 
 def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -39,32 +41,27 @@ def read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", "true").json(path)
 
 
-def copy_files(status: DataFrame, source: str, target: str, source_root: str, target_root: str) -> DataFrame:
-    """(source, target, status): files of status 'copied' are copied by the tasks; a failure becomes 'error'.
+def copy_files(status: DataFrame, source: str, target: str, source_root: str, target_root: str, delete_after: bool = False, in_flight: int | None = None) -> DataFrame:
+    """(source, target, status, error): files of status 'copied' are copied by the tasks; a failure becomes 'error'.
 
-    The roots are folders that all executors share.
+    The roots are folders that all executors share, or places in object stores. ``delete_after`` and ``in_flight``
+    as in ``store.transfer``: with both this is an upload of local results.
     """
-    import os
-    import shutil
-    from collections.abc import Iterator
-
-    import pandas as pd
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for a, b, s in pdf.itertuples(index=False):
-                if s == "copied":
-                    try:
-                        to = os.path.join(target_root, b)
-                        os.makedirs(os.path.dirname(to), exist_ok=True)
-                        shutil.copyfile(os.path.join(source_root, a), to)
-                    except OSError:
-                        s = "error"
-                out.append((a, b, s))
-            yield pd.DataFrame(out, columns=[source, target, "status"])
-
-    return status.select(source, target, "status").mapInPandas(run, f"{source} string, {target} string, status string")
+    plan = status.select(source, target, "status")
+    moved = store.transfer(plan.where("status = 'copied'"), source, target, source_root, target_root, delete_after, in_flight)
+    moved = moved.select(source, target, F.when(F.col("error").isNull(), F.col("status")).otherwise("error").alias("status"), "error")
+    return moved.unionByName(plan.where("status <> 'copied' or status is null").withColumn("error", F.lit(None).cast("string")))
+
+
+def first_files(status: DataFrame, limit: int | None, *order: str) -> DataFrame:
+    """The first ``limit`` files of a copy run in the given order, all without a limit."""
+    return status if limit is None else status.orderBy(*order).limit(limit)
+
+
+def write_missing(status: DataFrame, source: str, root: str, folder: str) -> None:
+    """The error list of a copy run: one line of text for each source that was not found."""
+    lines = status.where("status = 'not_found'").select(F.concat(F.lit("[NÃO ENCONTRADO] "), F.lit(root.rstrip("/") + "/"), F.col(source)).alias("value"))
+    lines.write.mode("overwrite").text(folder)
 
 
 def counted(df: DataFrame, name: str = "run"):
