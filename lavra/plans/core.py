@@ -33,11 +33,35 @@ def html_to_text(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, "extraction_records").select("id", "pipeline", text.html_to_text(F.col("text_content")).alias("plain"))
 
 
+# Fixed values of the comparison, spelled out so that it doesn't share the operators' tables: entities, extensions.
+_ENTITIES = (("&copy;", '©'), ("&middot;", '·'), ("&ordm;", 'º'), ("&ccedil;", 'ç'), ("&atilde;", 'ã'), ("&lt;", '<'), ("&gt;", '>'), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", '\xa0'), ("&amp;", '&'))
+_SQL_VIDEO = (".mp4", ".mkv", ".avi", ".mov", ".webm", ".flv", ".wmv", ".m4v", ".ts", ".mts")
+_SQL_AUDIO = (".mp3", ".wav", ".ogg", ".flac", ".aac", ".m4a", ".opus", ".wma", ".aiff")
+_SQL_OFFICE = (".doc", ".docx", ".ppt", ".pptx", ".pps", ".ppsx", ".xls", ".xlsx", ".odt", ".ods", ".odp", ".rtf")
+_SQL_IMAGE = (".png", ".jpg", ".jpeg", ".jp", ".webp", ".pgm")
+_SQL_MARKUP = (("html", (".html", ".htm")), ("xml", (".xml",)))
+_SQL_NATIVE = (".pdf", ".docx", ".doc", ".pptx", ".xlsx", ".xls", ".ppt")
+_SQL_BRANCHES = {
+    "docling": ((*_SQL_MARKUP, ("document", _SQL_NATIVE), ("audio", _SQL_AUDIO), ("video", _SQL_VIDEO)), "raw_text"),
+    "deepseek": ((*_SQL_MARKUP, ("image", _SQL_IMAGE), ("document", (*_SQL_OFFICE, ".pdf")), ("audio", _SQL_AUDIO), ("video", _SQL_VIDEO)), "raw_text"),
+    "main": ((("document", _SQL_NATIVE), *_SQL_MARKUP), None),
+    "notebook": ((("image", _SQL_IMAGE), ("document", (*_SQL_OFFICE, ".pdf"))), "raw_text"),
+}
+
+
+def html_to_text_parsed(spark: SparkSession, base: str) -> DataFrame:
+    """The parser form that whole runs use, over pages made of the pages' texts."""
+    p = read_table(spark, base, "page_results")
+    body = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    page = F.concat(F.lit("<html><head><title>P "), F.col("page_num").cast("string"), F.lit("</title><script>var a = '<p>';</script><!-- x --></head><body><h1>&#x41;t&#111;</h1><p>"), body, F.lit("<br/>fim</p></body></html>"))
+    return p.select("doc_id", "page_num", text.html_to_text_any(page).alias("plain"))
+
+
 def _html_sql() -> str:
     x = "text_content"
     for pattern, flags in (("<script\\b[^>]*>.*?</script\\s*>", "gis"), ("<style\\b[^>]*>.*?</style\\s*>", "gis"), ("<!--.*?-->", "gs"), ("<[!/?a-zA-Z][^>]*>", "gs")):
         x = f"regexp_replace({x}, '{pattern}', chr(1), '{flags}')"
-    for entity, char in text.ENTITIES.items():
+    for entity, char in _ENTITIES:
         x = f"replace({x}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
     return f"SELECT id, pipeline, array_to_string(list_filter(list_transform(string_split({x}, chr(1)), lambda p: {_strip('p')}), lambda p: p <> ''), chr(10)) AS plain FROM extraction_records"
 
@@ -112,6 +136,10 @@ def extension_profile(spark: SparkSession, base: str) -> DataFrame:
     return corpus.extension_profile(read_table(spark, base, "extraction_records"), "filepath")
 
 
+def extension_groups(spark: SparkSession, base: str) -> DataFrame:
+    return corpus.extension_groups(read_table(spark, base, "extraction_records"), "filepath")
+
+
 def distinct_extensions(spark: SparkSession, base: str) -> DataFrame:
     return corpus.distinct_extensions(read_table(spark, base, "extraction_records"), "filepath")
 
@@ -166,16 +194,16 @@ def route_dispatch(spark: SparkSession, base: str) -> DataFrame:
 
 def _route_sql() -> str:
     cols = []
-    for p, (branches, rest) in route.BRANCHES.items():
+    for p, (branches, rest) in _SQL_BRANCHES.items():
         ext = "sx" if p == "main" else "ext"
         whens = " ".join(f"WHEN {ext} IN {_in(exts)} THEN '{kind}'" for kind, exts in branches)
         cols.append(f"CASE WHEN filepath IS NULL THEN NULL {whens} ELSE {repr(rest) if rest else 'NULL'} END AS route_{p}")
-    kinds = (("video", route.VIDEO), ("audio", route.AUDIO), ("office", route.OFFICE), ("pdf", route.PDF), ("image", route.IMAGE))
+    kinds = (("video", _SQL_VIDEO), ("audio", _SQL_AUDIO), ("office", _SQL_OFFICE), ("pdf", (".pdf",)), ("image", _SQL_IMAGE))
     cls = "CASE " + " ".join(f"WHEN ext IN {_in(e)} THEN '{k}'" for k, e in kinds) + " ELSE 'other' END"
     return f"""WITH f AS (SELECT id, pipeline, filepath, {_SUFFIX} AS ext, {_SPLITEXT} AS sx FROM extraction_records), g AS (SELECT *, {', '.join(cols)}, {cls} AS file_class FROM f)
-SELECT id, pipeline, {', '.join(f'route_{p}' for p in route.BRANCHES)}, file_class,
-  CASE WHEN ext IN {_in(route.PRESENTATION)} THEN 'pdf:impress_pdf_Export' WHEN ext IN {_in(route.SPREADSHEET)} THEN 'pdf:calc_pdf_Export' ELSE 'pdf:writer_pdf_Export' END AS pdf_filter,
-  sx IN {_in(route.NATIVE_DOCUMENTS + route.HTML + route.XML)} AS kept_by_main, route_docling = 'raw_text' AND file_class <> 'other' AS lossy_docling FROM g"""
+SELECT id, pipeline, {', '.join(f'route_{p}' for p in _SQL_BRANCHES)}, file_class,
+  CASE WHEN ext IN {_in((".ppt", ".pptx", ".odp"))} THEN 'pdf:impress_pdf_Export' WHEN ext IN {_in((".xls", ".xlsx", ".ods", ".csv"))} THEN 'pdf:calc_pdf_Export' ELSE 'pdf:writer_pdf_Export' END AS pdf_filter,
+  sx IN {_in((*_SQL_NATIVE, ".html", ".htm", ".xml"))} AS kept_by_main, route_docling = 'raw_text' AND file_class <> 'other' AS lossy_docling FROM g"""
 
 
 def path_metadata_staff(spark: SparkSession, base: str) -> DataFrame:
@@ -237,14 +265,15 @@ def published_uris(spark: SparkSession, base: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        record_id, html_to_text, word_count, ocr_markdown_clean, bbox_scale, image_ref_replace, page_assemble, page_concat_raw, page_chunks, page_subset, section_assemble,
-        extension_profile, distinct_extensions, prefix_listing, prefix_count, batch_bucket, batch_final_records, status_upsert, resume_filter, status_resume, route_dispatch,
+        record_id, html_to_text, html_to_text_parsed, word_count, ocr_markdown_clean, bbox_scale, image_ref_replace, page_assemble, page_concat_raw, page_chunks, page_subset, section_assemble,
+        extension_profile, extension_groups, distinct_extensions, prefix_listing, prefix_count, batch_bucket, batch_final_records, status_upsert, resume_filter, status_resume, route_dispatch,
         path_metadata_staff, path_metadata_gazette, class_metadata_lookup, json_field, jsonl_clean, log_suppress, copy_status_summary, published_uris,
     )
 }
 
 SQL = {
     "record_id": "SELECT doc_id, sha256(coalesce(text, '') || concat_ws('/', source, doc_id || coalesce(file_format, ''))) AS id FROM documents",
+    "html_to_text_parsed": f"SELECT doc_id, page_num, 'P ' || page_num || chr(10) || 'Ato' || chr(10) || CASE WHEN {_strip("coalesce(text, '')")} = '' THEN '' ELSE {_strip('text')} || chr(10) END || 'fim' AS plain FROM page_results",
     "html_to_text": _html_sql(),
     "word_count": f"SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '{_WS}+'), lambda w: w <> '')) AS INTEGER) AS n_words FROM documents",
     "ocr_markdown_clean": f"SELECT doc_id, page_num, {_clean_sql('raw')} AS markdown FROM ({_RAW_SQL})",
@@ -264,6 +293,7 @@ v AS (SELECT doc_id, string_agg('### Frame ' || page_num || repeat(chr(10), 3) |
 SELECT a.doc_id, '# Transcrição de Áudio: ' || a.doc_id || '.mp4' || repeat(chr(10), 3) || CASE WHEN speech = '' THEN '_Nenhuma fala detectada._' ELSE speech END AS audio,
  '# Conteúdo do Vídeo: ' || a.doc_id || '.mp4' || repeat(chr(10), 3) || '## Transcrição de Áudio' || repeat(chr(10), 3) || '_Erro na transcrição: sem áudio_'
  || coalesce(repeat(chr(10), 3) || '## Conteúdo Visual (Frames de Cena)' || repeat(chr(10), 3) || frames, '') AS video FROM a JOIN v ON a.doc_id = v.doc_id""",
+    "extension_groups": f"SELECT count(DISTINCT coalesce({_SUFFIX}, '')) AS groups FROM extraction_records",
     "extension_profile": f"""SELECT CASE WHEN coalesce({_SUFFIX}, '') = '' THEN '(Without extension)' ELSE {_SUFFIX} END AS format, count(*) AS quantity,
   round_even(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 2) AS percentual FROM extraction_records GROUP BY 1""",
     "distinct_extensions": f"SELECT DISTINCT {_SUFFIX} AS format FROM extraction_records WHERE {_SUFFIX} <> ''",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import os
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -12,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.functions import text
-from lavra.session import read_table
-from lavra.sources import archives, files
+from lavra.session import ensure_checkpoint_dir, read_table
+from lavra.sources import archives, files, store
 
 #: Folder of the public vocabulary files, and how they split a text before merging.
 TOKENIZERS = os.environ.get("LAVRA_TOKENIZERS", "/opt/tokenizers")
@@ -48,7 +49,15 @@ def xml_to_json(spark: SparkSession, base: str) -> DataFrame:
 
 
 def file_scan(spark: SparkSession, base: str) -> DataFrame:
-    return files.scan(spark, base, content=False).select("relative_path", "name", "ext", "length")
+    """A tree with one file per page of every document, written by the tasks and scanned again with its content."""
+    ensure_checkpoint_dir(spark)
+    shared = spark.sparkContext._jsc.sc().getCheckpointDir().get().removeprefix("file:")  # a folder all executors see
+    folder = f"{shared}/scanned-{uuid.uuid4().hex}"
+    p = read_table(spark, base, "page_results").where("doc_id is not null and page_num is not null").groupBy("doc_id", "page_num").agg(F.max("text").alias("text"))
+    named = p.select(F.concat("doc_id", F.lit("/."), F.col("page_num").cast("string"), F.lit(".TXT")).alias("name"), F.coalesce("text", F.lit("")).alias("text"))
+    store.write_texts(named, "name", "text", folder).agg(F.count("error")).collect()
+    found = files.scan(spark, folder, content=True)
+    return found.select("relative_path", "name", "ext", "length", F.md5("content").alias("digest"))
 
 
 def token_count(spark: SparkSession, base: str) -> DataFrame:
@@ -58,6 +67,7 @@ def token_count(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (archive_expand, xml_to_json, file_scan, token_count)}
 SQL = {
+    "file_scan": "WITH p AS (SELECT doc_id, page_num, coalesce(max(text), '') AS text FROM page_results WHERE doc_id IS NOT NULL AND page_num IS NOT NULL GROUP BY doc_id, page_num) SELECT doc_id || '/.' || page_num || '.TXT' AS relative_path, '.' || page_num || '.TXT' AS name, '.txt' AS ext, strlen(text) AS length, md5(text) AS digest FROM p",
     "archive_expand": "SELECT doc_id || '.zip/' || printf('pagina_%04d.txt', page_num) AS relative, coalesce(max(text), '') AS text, CAST(NULL AS VARCHAR) AS error FROM page_results WHERE page_num IS NOT NULL GROUP BY doc_id, page_num",
     # The formatted JSON is spelled out; only quotes, backslashes and control characters would need escapes.
     "xml_to_json": """SELECT id, caminho_relativo, '{' || chr(10) || '  "r": {' || chr(10) || '    "@attributes": {' || chr(10) || '      "formato": "' || coalesce(file_format, '') || '"' || chr(10) || '    },' || chr(10)
