@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,3 +131,16 @@ def encode(df: DataFrame, text: str, ranks_path: str, pattern: str = WORD_PATTER
 
     rest = [c for c in df.columns if c not in (text, "ids")]
     return df.select(*rest, ids(F.col(text)).alias("ids"))
+
+
+def decode(ids: str, ranks_path: str):
+    """The text of a column of ids, for round trips; malformed bytes are replaced."""
+    ranks = SparkSession.active().sparkContext.broadcast(read_ranks(ranks_path))
+
+    @F.pandas_udf(T.StringType())
+    def text(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        token_of = _replay(ranks.value, WORD_PATTERN).token_of
+        for s in blocks:
+            yield pd.Series([None if x is None else b"".join(token_of[i] for i in x).decode("utf-8", "replace") for x in s], dtype=object)
+
+    return text(ids)

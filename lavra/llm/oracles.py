@@ -38,7 +38,7 @@ def _looks(text: str) -> str:
 
 
 def _words(table: str, key: str, text: str) -> str:
-    return f"SELECT {key}, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM (SELECT {key}, regexp_extract_all(strip_accents(lower({_looks(text)})), '[\\p{{L}}\\p{{N}}]+') AS ws FROM {table} WHERE {key} IS NOT NULL AND {text} IS NOT NULL)"
+    return f"SELECT {key}, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM (SELECT {key}, regexp_extract_all(translate(strip_accents(lower({_looks(text)})), 'ªº¹²³', 'ao123'), '[\\p{{L}}\\p{{N}}]+') AS ws FROM {table} WHERE {key} IS NOT NULL AND {text} IS NOT NULL)"
 
 
 _REPEATED = f"""
@@ -50,17 +50,25 @@ c AS (SELECT id, count(DISTINCT p) AS m FROM (SELECT id, unnest(range(pos, pos +
 n AS (SELECT t.id, count(w.pos) AS n FROM t LEFT JOIN w ON w.id = t.id GROUP BY t.id)
 """
 
+_LEAKS = f"""d AS ({_words("documents", "doc_id", "text")}), i AS ({_words("eval_items", "item_id", "text")}),
+size AS (SELECT item_id, least(20, count(*)) AS least, count(*) AS item_words FROM i GROUP BY item_id),
+m AS (SELECT doc_id, item_id, d.pos - i.pos AS off, i.pos AS pos FROM d JOIN i ON i.w = d.w),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id, off ORDER BY pos) AS rn, count(*) OVER (PARTITION BY doc_id, item_id, off) AS hits FROM m),
+live AS (SELECT k.*, least, item_words FROM k JOIN size s ON s.item_id = k.item_id WHERE hits >= 0.85 * least),
+found AS (SELECT a.doc_id, a.item_id, max(b.pos - a.pos + 1) AS matched_words, any_value(a.item_words) AS item_words FROM live a JOIN live b ON a.doc_id = b.doc_id AND a.item_id = b.item_id AND a.off = b.off AND b.rn >= a.rn
+  WHERE b.pos - a.pos + 1 >= a.least AND (b.pos - a.pos + 1) - (b.rn - a.rn + 1) <= 0.15 * (b.pos - a.pos + 1) GROUP BY a.doc_id, a.item_id),
+whole AS (SELECT doc_id, ' ' || string_agg(w, ' ' ORDER BY pos) || ' ' AS words FROM d WHERE doc_id IN (SELECT doc_id FROM found) GROUP BY doc_id),
+picked AS (SELECT item_id, coalesce(nullif(regexp_extract(text, '(^|\\s)' || regexp_escape(answer) || '\\)\\s*([^;.]+)', 2), ''), answer) AS answer FROM eval_items WHERE item_id IS NOT NULL AND answer <> ''),
+right_words AS (SELECT item_id, ' ' || string_agg(w, ' ' ORDER BY pos) || ' ' AS words FROM ({_words("picked", "item_id", "answer")}) GROUP BY item_id)"""
+
 SQL = {
+    "p1_rebuilt": f"SELECT id, md5(any_value(text_content)) AS digest, true AS within_limit FROM extraction_records WHERE id IS NOT NULL AND length(text_content) > 4000 AND regexp_matches(text_content, '{_BLANK}') GROUP BY id",
+    "p7_rebuilt": "SELECT doc_id, md5(coalesce(text, '')) AS digest, coalesce(text, '') = '' AS empty FROM documents",
+    "p8_leaks": f"WITH {_LEAKS} SELECT f.doc_id, f.item_id, matched_words, item_words, coalesce(contains(w.words, r.words), false) AS has_answer FROM found f JOIN whole w ON w.doc_id = f.doc_id LEFT JOIN right_words r ON r.item_id = f.item_id",
     "p1_found": f"SELECT DISTINCT id FROM extraction_records WHERE id IS NOT NULL AND length(text_content) > 4000 AND regexp_matches(text_content, '{_BLANK}')",
     "p3_found": f"WITH {_REPEATED} SELECT n.id FROM n JOIN c ON c.id = n.id WHERE m >= 0.35 * n",
     "p3_share": f"WITH {_REPEATED} SELECT n.id, n AS n_words, coalesce(m, 0) AS n_repeated, CASE WHEN n > 0 THEN coalesce(m, 0) / n ELSE 0 END AS repeated_share FROM n LEFT JOIN c ON c.id = n.id",
-    "p8_found": f"""WITH d AS ({_words("documents", "doc_id", "text")}), i AS ({_words("eval_items", "item_id", "text")}),
-size AS (SELECT item_id, least(20, count(*)) AS least FROM i GROUP BY item_id),
-m AS (SELECT doc_id, item_id, d.pos - i.pos AS off, i.pos AS pos FROM d JOIN i ON i.w = d.w),
-k AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id, off ORDER BY pos) AS rn, count(*) OVER (PARTITION BY doc_id, item_id, off) AS hits FROM m),
-live AS (SELECT k.*, least FROM k JOIN size s ON s.item_id = k.item_id WHERE hits >= 0.85 * least)
-SELECT DISTINCT a.doc_id, a.item_id FROM live a JOIN live b ON a.doc_id = b.doc_id AND a.item_id = b.item_id AND a.off = b.off AND b.rn >= a.rn
-WHERE b.pos - a.pos + 1 >= a.least AND (b.pos - a.pos + 1) - (b.rn - a.rn + 1) <= 0.15 * (b.pos - a.pos + 1)""",
+    "p8_found": f"WITH {_LEAKS} SELECT doc_id, item_id FROM found",
     "p9_found": f"""WITH f AS (SELECT doc_id, text, {_looks("text")} AS look FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)
 SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM f a JOIN f b ON a.look = b.look AND a.doc_id < b.doc_id AND a.text <> b.text WHERE a.look <> ''""",
 }

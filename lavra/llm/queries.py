@@ -30,6 +30,15 @@ def p1_pieces(spark: SparkSession, base: str) -> DataFrame:
     return split.split(long_texts, "text_content", limit=4000, overlap=200)
 
 
+def p1_rebuilt(spark: SparkSession, base: str) -> DataFrame:
+    """Each long text put together from its pieces again, and the bounds of its pieces."""
+    pieces = p1_pieces(spark, base)
+    # The pieces of one text, which are no larger than the text.
+    whole = pieces.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("piece_no", "piece"))).alias("_p"), F.max(F.char_length("piece")).alias("longest"))
+    own = F.transform("_p", lambda x: F.when(x["piece_no"] == 0, x["piece"]).otherwise(F.substr(x["piece"], F.lit(201))))
+    return whole.select("id", F.md5(F.array_join(own, "")).alias("digest"), (F.col("longest") <= 4000).alias("within_limit"))
+
+
 def p3_found(spark: SparkSession, base: str) -> DataFrame:
     return repetition.measure(_record_texts(spark, base), "text_content").where("n_words > 0 and n_repeated >= 0.35 * n_words").select("id").distinct()
 
@@ -80,6 +89,13 @@ def p7_ids(spark: SparkSession, base: str) -> DataFrame:
     return bpe.encode(read_table(spark, base, "documents").select("doc_id", "text"), "text", f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
 
+def p7_rebuilt(spark: SparkSession, base: str) -> DataFrame:
+    """The texts that the ids stand for."""
+    path = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+    ids = bpe.encode(read_table(spark, base, "documents").select("doc_id", "text"), "text", path)
+    return ids.select("doc_id", F.md5(bpe.decode("ids", path)).alias("digest"), (F.size("ids") == 0).alias("empty"))
+
+
 def p8_found(spark: SparkSession, base: str) -> DataFrame:
     return p8_leaks(spark, base).select("doc_id", "item_id")
 
@@ -96,5 +112,5 @@ def p9_normalised(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, "documents").select("doc_id", lookalike.normalise(F.col("text")).alias("normal_text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p3_found": p3_found, "p3_share": p3_share, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p6_clean": p6_clean, "p7_ids": p7_ids, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_normalised": p9_normalised}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p1_rebuilt": p1_rebuilt, "p3_found": p3_found, "p3_share": p3_share, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p6_clean": p6_clean, "p7_ids": p7_ids, "p7_rebuilt": p7_rebuilt, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_normalised": p9_normalised}
 SQL = oracles.SQL
