@@ -41,7 +41,7 @@ CERTAIN = frozenset("!|€@$+¢015689äëö")
 #: Such a sign or digit between letters, where only misreading puts it. The letters ä, ë and ö stand in names.
 INSIDE = r"\p{L}[!|€@$+¢015689]+\p{L}"
 HYPHENS = "-‐¬­"
-CUT = re.compile(rf"(?<=[^\W\d_])([{HYPHENS}])[ \t]*\n(?=[^\WA-ZÀ-Þ_{re.escape(_MARKS)}]|[{re.escape(_MARKS)}]\w)")
+CUT = re.compile(rf"([{HYPHENS}])(?<=[^\W\d_].)[ \t]*\n(?=[^\WA-ZÀ-Þ_{re.escape(_MARKS)}]|[{re.escape(_MARKS)}]\w)")
 _HEAD, _INNER = re.compile(rf"[\w{re.escape(_MARKS)}]+"), re.compile(rf"[\w{re.escape(_MARKS)}]")
 _P = r"[pP](?:[^\W\d_]|@|[^\x00-\x7f]{1,5})[gG9](?:[iI!1|l][nN][aA@]|\.)?"
 #: Numbers marked as page numbers may have any length, numbers that stand alone at most four digits.
@@ -123,10 +123,10 @@ def misread_rates(hits: DataFrame, ratio: int, least_pairs: int = 10) -> DataFra
     return known.select("one", F.when(F.col("pairs") >= least_pairs, F.col("rate")).otherwise(F.col("pooled")).alias("rate"))
 
 
-def _candidates(words: DataFrame, ratio: int, least_letters: int) -> DataFrame:
+def _candidates(words: DataFrame, ratio: int, least_letters: int, few_targets: int = 300_000) -> DataFrame:
     """(word, d, target, m, one, two, inside): frequent words that one or two confusions (their numbers in
     ``CONFUSIONS``) turn into the word; ``inside`` if a sign or digit stands between its letters."""
-    keyed = words.select("word", "n", "d", anagram_hash(F.col("word")).alias("h"))
+    keyed = words.select("word", "n", "d", F.col("h") if "h" in words.columns else anagram_hash(F.col("word")).alias("h"))
     word = F.col("word")
     could = [
         F.when(
@@ -149,6 +149,8 @@ def _candidates(words: DataFrame, ratio: int, least_letters: int) -> DataFrame:
     guesses = both.where(enough).select("word", "d", F.col("_a.k").alias("one"), F.col("_b.k").alias("two"), (F.col("h") + F.col("_a.delta") + F.col("_b.delta")).alias("h"))
     good = keyed.where((F.col("n") >= ratio) & ~F.col("word").rlike(r"[0-9!|€@$+¢]")).select(F.col("word").alias("target"), F.col("n").alias("m"), "h")
     inside = word.rlike(INSIDE)
+    # Each word has many guesses; while the targets are few they go to the guesses, beyond that both are shuffled.
+    good = F.broadcast(good) if good.count() <= few_targets else good
     hits = guesses.join(good, "h").where(((F.col("m") >= ratio * F.col("d")) | inside) & (F.col("word") != F.col("target")) & (canonical(F.col("word")) == canonical(F.col("target"))))
     return hits.select("word", "d", "target", "m", "one", "two", inside.alias("inside"))
 
@@ -248,7 +250,7 @@ class Noise:
     def __init__(self, df: DataFrame, key: str, text: str, ratio: int = 20, known_share: float = 5e-6):
         spark = df.sparkSession
         self.key = key
-        self.words = cut(lexicon(df, text))
+        self.words = cut(lexicon(df, text).withColumn("h", anagram_hash(F.col("word"))))
         self.fixes = cut(corrections(self.words, ratio))
         # Common words without a correction are skipped where they stand. This only saves rows: a word without a
         # correction is no evidence, so the share changes no result. There are at most 1 / known_share of them.

@@ -83,3 +83,9 @@ def test_no_limit_on_the_length_of_lines_and_halves():
 def test_punctuation_and_keys_are_no_words():
     words = {i for k, i, _ in S.evidence("Viva o local! Ver ~\\cite{ato5} e loc!al", frozenset()) if k == "word"}
     assert "loc!al" in words and "local!" not in words and "ato5" not in words
+
+
+def test_many_targets_give_the_same(noise):
+    words = noise[1].words
+    few, many = (sorted(map(tuple, S._candidates(words, 20, 4, few_targets=n).collect())) for n in (300_000, 0))
+    assert few == many and few
