@@ -73,12 +73,13 @@ def lexicon(df: DataFrame, text: str) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            total, once = Counter(), Counter()
+            once, more = Counter(), Counter()
             for t, copies in zip(pdf["t"], pdf["copies"]):
-                for w, n in Counter(WORD.findall(t.lower())).items():
-                    total[w] += n * copies
-                    once[w] += n
-            yield pd.DataFrame([(w, n, once[w]) for w, n in total.items() if not w.isdigit()], columns=["word", "n", "d"])
+                words = WORD.findall(t.lower())
+                once.update(words)
+                for w in words if copies > 1 else ():
+                    more[w] += copies - 1
+            yield pd.DataFrame([(w, d + more[w], d) for w, d in once.items() if not w.isdigit()], columns=["word", "n", "d"])
 
     texts = df.select(F.col(text).alias("t")).where("t <> ''").groupBy("t").agg(F.count("*").alias("copies"))
     counted = texts.mapInPandas(count, "word string, n bigint, d bigint").groupBy("word").agg(F.sum("n").alias("n"), F.sum("d").alias("d"))
