@@ -182,8 +182,9 @@ def shifts(df: DataFrame, rules: Sequence[ColumnRule], load: Column, limits: Shi
 def profile(df: DataFrame, rules: Sequence[ColumnRule], load: Column) -> DataFrame:
     """One row per column and load: sizes, null rate, distinct values, range, quartiles, violations, KS distance.
 
-    ``range`` columns hold the smallest and largest value as text; quartiles are null for text columns; ``ks``
-    is null for the first load. An empty table gives no rows.
+    The range is ``lowest`` to ``highest`` inside the domain and ``lowest_any`` to ``highest_any`` over all values of a
+    numeric column (NaN is the largest), and ``first_text`` to ``last_text`` over all values of a text column; the
+    others are null. Quartiles are those inside the domain, null for text columns; ``ks`` is null for the first load. An empty table gives no rows.
     """
     pairs = cut(paired_counts(value_counts(df, rules, load)))
     null, is_new = F.col("num").isNull() & F.col("txt").isNull(), F.col("n_new") > 0
@@ -196,8 +197,9 @@ def profile(df: DataFrame, rules: Sequence[ColumnRule], load: Column) -> DataFra
         F.sum("n_out").alias("n_outside"),
         F.min(F.when(F.col("n_new") > F.col("n_out"), F.col("num"))).alias("lowest"),
         F.max(F.when(F.col("n_new") > F.col("n_out"), F.col("num"))).alias("highest"),
+        *[agg(F.when(is_new, F.col(c))).alias(name) for name, agg, c in (("lowest_any", F.min, "num"), ("highest_any", F.max, "num"), ("first_text", F.min, "txt"), ("last_text", F.max, "txt"))],
     )
     stats = order_statistics(curves(pairs)).drop("median_old")
     return base.join(stats, ["field_name", "load"], "left").select(
-        "field_name", "load", "n_rows", "n_null", (F.col("n_null") / F.col("n_rows")).alias("null_share"), "n_distinct", "n_outside", "lowest", "q1", "median", "q3", "highest", "ks"
+        "field_name", "load", "n_rows", "n_null", (F.col("n_null") / F.col("n_rows")).alias("null_share"), "n_distinct", "n_outside", "lowest", "q1", "median", "q3", "highest", "lowest_any", "highest_any", "first_text", "last_text", "ks"
     )

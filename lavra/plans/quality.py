@@ -26,8 +26,8 @@ def p2_found(spark: SparkSession, base: str) -> DataFrame:
 
 def p2_profile(spark: SparkSession, base: str) -> DataFrame:
     out = quality.profile(_records(spark, base), quality.EXTRACTION_RULES, _load())
-    doubles = ("null_share", "lowest", "q1", "median", "q3", "highest", "ks")
-    return out.select("field_name", F.date_format("load", "yyyy-MM-dd").alias("load"), "n_rows", "n_null", "n_distinct", "n_outside", *[F.round(c, 6).alias(c) for c in doubles])
+    doubles = ("null_share", "lowest", "q1", "median", "q3", "highest", "lowest_any", "highest_any", "ks")
+    return out.select("field_name", F.date_format("load", "yyyy-MM-dd").alias("load"), "n_rows", "n_null", "n_distinct", "n_outside", "first_text", "last_text", *[F.round(c, 6).alias(c) for c in doubles])
 
 
 # Shared head of both statements: rows in long form with their load, and the load before each load.
@@ -69,6 +69,7 @@ WITH {_LONG},
 base AS (SELECT field_name, load, count(*) AS n_rows, count(*) FILTER (num IS NULL AND txt IS NULL) AS n_null,
     count(DISTINCT coalesce(txt, CAST(num AS VARCHAR))) AS n_distinct, count(*) FILTER (bad) AS n_outside,
     min(num) FILTER (NOT bad) AS lowest, max(num) FILTER (NOT bad) AS highest,
+    min(num) AS lowest_any, max(num) AS highest_any, min(txt) AS first_text, max(txt) AS last_text,
     quantile_disc(num, 0.25) FILTER (NOT bad) AS q1, median(num) FILTER (NOT bad) AS median, quantile_disc(num, 0.75) FILTER (NOT bad) AS q3
   FROM long WHERE load IS NOT NULL GROUP BY 1, 2),
 live AS (SELECT field_name, load, num, txt FROM long WHERE NOT bad AND (num IS NOT NULL OR txt IS NOT NULL) AND load IS NOT NULL),
@@ -79,7 +80,7 @@ cum AS (SELECT field_name, load, sum(n) OVER w AS cn, sum(o) OVER w AS co, sum(n
   WINDOW w AS (PARTITION BY field_name, load ORDER BY num NULLS FIRST, txt NULLS FIRST ROWS UNBOUNDED PRECEDING), t AS (PARTITION BY field_name, load)),
 ks AS (SELECT field_name, load, max(abs(co / to_ - cn / tn)) AS ks FROM cum WHERE tn > 0 AND to_ > 0 GROUP BY 1, 2)
 SELECT b.field_name, strftime(b.load, '%Y-%m-%d') AS load, n_rows, n_null, round(n_null / n_rows, 6) AS null_share, n_distinct, n_outside,
-  round(lowest, 6) AS lowest, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(highest, 6) AS highest, round(ks, 6) AS ks
+  round(lowest, 6) AS lowest, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(highest, 6) AS highest, round(lowest_any, 6) AS lowest_any, round(highest_any, 6) AS highest_any, first_text, last_text, round(ks, 6) AS ks
 FROM base b LEFT JOIN ks k ON k.field_name = b.field_name AND k.load = b.load
 """,
 }
