@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import io
+import os
 import subprocess
 import tarfile
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -44,15 +43,28 @@ def is_archive(content: bytes | None, ext: str | None) -> bool:
 
 
 def unpack_rar(content: bytes) -> list[tuple[str, bytes]]:
-    """Members of a rar file by the 7z program; raises where it is missing or fails."""
-    with tempfile.TemporaryDirectory() as d:
-        source = Path(d, "a.rar")
-        source.write_bytes(content)
-        done = subprocess.run(["7z", "x", "-y", f"-o{d}/out", str(source)], capture_output=True)
-        if done.returncode:
-            raise RuntimeError(f"7z ended with {done.returncode}")
-        root = Path(d, "out")
-        return [(p.relative_to(root).as_posix(), p.read_bytes()) for p in sorted(root.rglob("*")) if p.is_file()]
+    """Members of a rar file by the 7z program, through memory alone; raises where it is missing or fails."""
+    fd = os.memfd_create("archive.rar")
+    try:
+        with open(fd, "wb", closefd=False) as f:
+            f.write(content)
+        path = f"/proc/{os.getpid()}/fd/{fd}"
+        return [(name, _seven_zip("x", "-so", path, name)) for name in _listed(_seven_zip("l", "-slt", "-ba", "-sccUTF-8", path).decode("utf-8", "replace"))]
+    finally:
+        os.close(fd)
+
+
+def _seven_zip(*words: str) -> bytes:
+    done = subprocess.run(["7z", *words], capture_output=True)
+    if done.returncode:
+        raise RuntimeError(f"7z ended with {done.returncode}")
+    return done.stdout
+
+
+def _listed(listing: str) -> list[str]:
+    """Names of the files in a technical listing, one block of 'Field = value' lines per entry."""
+    blocks = [dict(line.split(" = ", 1) for line in block.splitlines() if " = " in line) for block in listing.replace("\r", "").split("\n\n")]
+    return sorted(b["Path"] for b in blocks if "Path" in b and b.get("Folder", "-") != "+" and not b.get("Attributes", "").startswith("D"))
 
 
 def members(content: bytes, rar: Unpack = unpack_rar) -> Iterator[tuple[str, bytes]]:

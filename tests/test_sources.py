@@ -88,6 +88,14 @@ def test_broken_archives_are_errors(spark):
     assert got["t.tgz/a"][0] and got["r.rar"][1] and "ValueError" in got["n"][1]
 
 
+def test_rar_members_by_a_stand_in_program(tmp_path, monkeypatch):
+    program = tmp_path / "7z"
+    program.write_text("#!/bin/sh\nif [ $1 = l ]; then printf 'Path = d\\nFolder = +\\n\\nPath = d/b.txt\\nFolder = -\\n\\nPath = a.txt\\nFolder = -\\n\\n'; else printf \"$4:\"; cat \"$3\"; fi\n")
+    program.chmod(0o755)
+    monkeypatch.setenv("PATH", f"{tmp_path}:{os.environ['PATH']}")
+    assert list(archives.members(b"Rar!\x1a\x07\x00")) == [("a.txt", b"a.txt:Rar!\x1a\x07\x00"), ("d/b.txt", b"d/b.txt:Rar!\x1a\x07\x00")]
+
+
 def test_a_damaged_archive_gives_no_member(spark, tmp_path):
     whole = bytearray(make_zip(**{"a.txt": b"um" * 50, "b.txt": b"dois" * 50}))
     whole[whole.index(b"b.txt") + 5 + 20] ^= 0xFF  # the second member's data no longer has its check sum
