@@ -77,8 +77,8 @@ def p6_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p6_clean(spark: SparkSession, base: str) -> DataFrame:
-    out = markup_clean.convert(_record_texts(spark, base), "text_content").where(F.size("markup") > 0)
-    return _one_per_id(out)
+    signed = _one_per_id(_record_texts(spark, base).where(F.col("text_content").rlike(markup.SIGNS)))  # others hold no markup
+    return markup_clean.convert(signed, "text_content").where(F.size("markup") > 0)
 
 
 #: Folder of the public vocabulary files.
