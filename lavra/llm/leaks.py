@@ -81,21 +81,25 @@ def runs(codes: np.ndarray, length: int) -> np.ndarray:
 
 
 class _Comparable(dict):
-    """For str.translate: the comparable form of each character, filled as characters occur. Combining marks are
-    dropped, so composed and decomposed letters come out alike without normalising the text."""
+    """The comparable form of each character, filled as characters occur. Combining marks are dropped, so composed
+    and decomposed letters come out alike without normalising the text."""
 
-    def __missing__(self, code: int) -> str:
-        plain = unicodedata.normalize("NFKD", normal_form(f"a{chr(code)}a")[1:-1])
-        self[code] = "".join(c for c in plain if not unicodedata.combining(c))
-        return self[code]
+    def __missing__(self, ch: str) -> str:
+        plain = unicodedata.normalize("NFKD", normal_form(f"a{ch}a")[1:-1])
+        self[ch] = "".join(c for c in plain if not unicodedata.combining(c))
+        return self[ch]
+
+    def one(self, m: re.Match) -> str:
+        return self[m[0]]
 
 
 _COMPARABLE = _Comparable()
+_NOT_PLAIN = re.compile(r"[^\n -~]")
 
 
 def comparable_words(text: str) -> list[str]:
     """Words without regard to case, accents, punctuation, spacing and look-alike characters."""
-    return _WORD.findall(text.translate(_COMPARABLE))
+    return _WORD.findall(_NOT_PLAIN.sub(_COMPARABLE.one, text).lower())
 
 
 def _maxima(blocks: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

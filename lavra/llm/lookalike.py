@@ -9,8 +9,8 @@ same. Forms are computed once per distinct value of a batch.
 
 from __future__ import annotations
 
+import re
 import unicodedata
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -59,15 +59,19 @@ def _plain_letter(ch: str, kind: str) -> bool:
     return name.startswith(("ROMAN NUMERAL", "SMALL ROMAN NUMERAL", "MATHEMATICAL MONOSPACE")) or name.startswith("MATHEMATICAL SANS-SERIF") and not ("BOLD" in name or "ITALIC" in name)
 
 
+#: Characters that both forms leave as they are but for case: printable ASCII and the composed letters of Latin-1.
+_SPECIAL = re.compile("[^ -~À-ÖØ-öø-ÿ]")
+
+
 class _Table(dict):
-    """Per-character mapping for str.translate, filled as characters occur; at most one entry per code point."""
+    """Per-character mapping, filled as characters occur; at most one entry per code point."""
 
     def __init__(self, visible_only: bool):
         super().__init__()
         self.visible_only = visible_only
 
-    def __missing__(self, code: int) -> str:
-        ch = chr(code)
+    def __missing__(self, ch: str) -> str:
+        code = ord(ch)
         kind = unicodedata.decomposition(ch).partition(" ")[0]
         if any(a <= code <= b for a, b in IGNORABLE) or (unicodedata.category(ch) == "Cc" and ch not in SPACES):
             out = ""
@@ -78,23 +82,27 @@ class _Table(dict):
         else:
             out = unicodedata.normalize("NFKD", ch)
         out = "".join(LOOKALIKES.get(c, MARKS.get(c, c)) for c in out)
-        self[code] = out
+        self[ch] = out
         return out
 
+    def apply(self, text: str) -> str:
+        return _SPECIAL.sub(self._one, text)
+
+    def _one(self, m: re.Match) -> str:
+        return self[m[0]]
+
 
-@lru_cache(maxsize=2)
-def _table(visible_only: bool) -> _Table:
-    return _Table(visible_only)
+_VISIBLE, _NORMAL = _Table(True), _Table(False)
 
 
 def visible_form(text: str) -> str:
     """What a reader sees; runs of white space count as one space, white space at the ends as none."""
-    return " ".join(unicodedata.normalize("NFC", text.translate(_table(True))).split())
+    return " ".join(unicodedata.normalize("NFC", _VISIBLE.apply(text)).split())
 
 
 def normal_form(text: str) -> str:
     """The form for comparisons: compatibility-composed, case-folded, without marks of encoding variants."""
-    folded = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", text.translate(_table(False))).casefold())
+    folded = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", _NORMAL.apply(text)).casefold())
     return " ".join(folded.split())
 
 

@@ -1,5 +1,8 @@
 import unicodedata
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from lavra.llm import lookalike
 
 
@@ -47,3 +50,16 @@ def test_letters_of_other_scripts():
         assert lookalike.visible_form(a) == b
     for a, b in (("𝐀to", "Ato"), ("𝑎to", "ato"), ("ªto", "ato"), ("½", "1/2"), ("á", "a")):
         assert lookalike.visible_form(a) != lookalike.visible_form(b)
+
+
+@settings(max_examples=2000, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=("Cs",)), st.sampled_from("aeçãºªÇÉ\u0301\u0327\u200b\xa0Аοﬁ２ß İ\n\x07"))))
+def test_forms_by_whole_translation(text):
+    """The forms touch special characters only; translating every character gives the same."""
+    for form, table in ((lookalike.visible_form, lookalike._VISIBLE), (lookalike.normal_form, lookalike._NORMAL)):
+        mapped = "".join(table[c] for c in text)
+        if form is lookalike.visible_form:
+            want = unicodedata.normalize("NFC", mapped)
+        else:
+            want = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", mapped).casefold())
+        assert form(text) == " ".join(want.split())
