@@ -131,11 +131,14 @@ class Index:
         self.blocks = {w: _maxima(ks // rule.block, xs) for w, (ks, xs) in self.posts.items()}
         self.codes = {w: c for c, w in enumerate(self.posts)}
         self.item_codes = [np.array([self.codes[w] for w in ws], np.int64) for ws in self.words]
-        marks: dict[int, list[np.ndarray]] = {}
-        for ws in self.item_codes:
+        marks: dict[int, dict[int, set[int]]] = {}
+        for k, ws in enumerate(self.item_codes):
             if len(ws):
-                marks.setdefault(rule.run(len(ws)), []).append(runs(ws, rule.run(len(ws))))
-        self.marks = {length: np.unique(np.concatenate(hashes)) for length, hashes in marks.items()}
+                owners = marks.setdefault(rule.run(len(ws)), {})
+                for h in runs(ws, rule.run(len(ws))).tolist():
+                    owners.setdefault(h, set()).add(k)
+        # By length: the hashes of the items' runs in order, and the items of each.
+        self.marks = {length: (np.array(sorted(owners), np.uint64), [owners[h] for h in sorted(owners)]) for length, owners in marks.items()}
 
     def _threshold(self, words: list[str], weight: dict[str, float]) -> float:
         """The least score of any stretch that verification accepts: its terms without the heaviest replaced ones."""
@@ -165,27 +168,28 @@ class Index:
         kept = live[items // self.rule.block]
         return np.flatnonzero(np.bincount(items[kept], scores[kept]) >= 1).tolist()
 
-    def passages(self, codes: np.ndarray) -> set[int]:
-        """First words of the passages that share a run of words with an item. Passages are twice as long as a leak
-        and overlap by half, so each leak lies in one of them."""
-        size, out = self.rule.least, set()
+    def passages(self, codes: np.ndarray) -> dict[int, set[int]]:
+        """First words of the passages that share a run of words with an item, and those items. Passages are twice as
+        long as a leak and overlap by half, so each leak lies in one of them."""
+        size, out = self.rule.least, {}
         last = max(0, (len(codes) - size - 1) // size) * size
-        for length, marks in self.marks.items():
+        for length, (marks, owners) in self.marks.items():
             found = runs(codes, length)
             at = np.searchsorted(marks, found)
             at[at == len(marks)] = 0
             for p in np.flatnonzero((marks[at] == found) & (found > 0)).tolist():
                 start = p // size * size
-                out.add(min(start, last))
+                items = owners[at[p]]
+                out.setdefault(min(start, last), set()).update(items)
                 if start and p + length <= start + size:
-                    out.add(min(start - size, last))
+                    out.setdefault(min(start - size, last), set()).update(items)
         return out
 
     def candidates(self, words: list[str], codes: np.ndarray) -> list[int]:
-        """Items retrieved by any passage."""
+        """Items retrieved by any passage that shares a run of words with them."""
         out: set[int] = set()
-        for a in self.passages(codes):
-            out.update(self.search(set(words[a : a + 2 * self.rule.least])))
+        for a, items in self.passages(codes).items():
+            out.update(items.intersection(self.search(set(words[a : a + 2 * self.rule.least]))))
         return sorted(out)
 
     def verify(self, words: list[str], item: int, codes: np.ndarray) -> int:
