@@ -6,11 +6,11 @@ from collections.abc import Iterator
 from itertools import groupby
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lavra.session import cut, shuffle_partitions
-from lavra.sources import store
+from lavra.sources import objects, store
 
 BATCH_SIZE = 200
 #: Fields that are not published.
@@ -44,6 +44,13 @@ def final_records(records: DataFrame, texts: DataFrame, key: str = "id") -> Data
     return records.drop(*EXCLUDED, "text_content").join(texts.select(key, "text_content"), key, "left")
 
 
+def written(spark: SparkSession, folder: str) -> DataFrame:
+    """(batch): numbers of the batch files in a folder, which has to exist: a run must not begin a second sequence."""
+    if not store.exists(folder):
+        raise FileNotFoundError(folder)
+    return objects.list_keys(spark, folder).select(F.regexp_extract("key", r"(?:^|/)batch_(\d+)\.jsonl$", 1).alias("_n")).where("_n <> ''").select(F.col("_n").cast("bigint").alias("batch"))
+
+
 def next_batch(existing: DataFrame) -> int:
     """Number after the last batch written, 0 for none."""
     last = existing.agg(F.max("batch")).first()[0]

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lavra.operators import batches, corpus, metadata, pages, status
@@ -33,7 +34,11 @@ def test_written_batches_keep_nulls(spark, tmp_path):
     batches.write_jsonl(df, str(tmp_path / "out"))
     lines = sorted(r.value for r in spark.read.text(str(tmp_path / "out")).select("value").collect())
     assert lines == ['{"id":"a","n":null}', '{"id":"ç","n":1}']
-    assert batches.next_batch(spark.read.text(str(tmp_path / "out"))) == 2
+    assert batches.next_batch(batches.written(spark, str(tmp_path / "out"))) == 2
+    (tmp_path / "empty").mkdir()
+    assert batches.next_batch(batches.written(spark, str(tmp_path / "empty"))) == 0
+    with pytest.raises(FileNotFoundError):
+        batches.written(spark, str(tmp_path / "none"))
 
 
 def test_status_gate(spark):
