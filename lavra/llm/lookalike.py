@@ -154,6 +154,13 @@ def groups(df: DataFrame, key: str, text: str) -> DataFrame:
     return rows.join(several, ["same", "look"], "left_semi")
 
 
+def membership(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(<key>, representative): every text that looks like a different one, with the smallest key of its group."""
+    live = groups(df, key, text)
+    first = live.groupBy("same", "look").agg(F.min(key).alias("representative"))
+    return live.join(first, ["same", "look"]).select(key, "representative")
+
+
 def pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     """(<key>_a, <key>_b), a < b: all pairs of unequal texts that look the same.
 

@@ -69,6 +69,9 @@ SQL = {
     "p3_found": f"WITH {_REPEATED} SELECT n.id FROM n JOIN c ON c.id = n.id WHERE m >= 0.35 * n",
     "p3_share": f"WITH {_REPEATED} SELECT n.id, n AS n_words, coalesce(m, 0) AS n_repeated, CASE WHEN n > 0 THEN coalesce(m, 0) / n ELSE 0 END AS repeated_share FROM n LEFT JOIN c ON c.id = n.id",
     "p8_found": f"WITH {_LEAKS} SELECT doc_id, item_id FROM found",
+    "p9_groups": f"""WITH f AS (SELECT doc_id, text, {_looks("text")} AS look FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+g AS (SELECT look, min(doc_id) AS representative FROM f WHERE look <> '' GROUP BY look HAVING count(DISTINCT text) > 1)
+SELECT doc_id, representative FROM f JOIN g ON g.look = f.look""",
     "p9_found": f"""WITH f AS (SELECT doc_id, text, {_looks("text")} AS look FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)
 SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM f a JOIN f b ON a.look = b.look AND a.doc_id < b.doc_id AND a.text <> b.text WHERE a.look <> ''""",
 }

@@ -108,9 +108,13 @@ def p9_found(spark: SparkSession, base: str) -> DataFrame:
     return lookalike.pairs(read_table(spark, base, "documents"), "doc_id", "text")
 
 
+def p9_groups(spark: SparkSession, base: str) -> DataFrame:
+    return lookalike.membership(read_table(spark, base, "documents"), "doc_id", "text")
+
+
 def p9_normalised(spark: SparkSession, base: str) -> DataFrame:
     return read_table(spark, base, "documents").select("doc_id", lookalike.normalise(F.col("text")).alias("normal_text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p1_rebuilt": p1_rebuilt, "p3_found": p3_found, "p3_share": p3_share, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p6_clean": p6_clean, "p7_ids": p7_ids, "p7_rebuilt": p7_rebuilt, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_normalised": p9_normalised}
+QUERIES = {"p1_found": p1_found, "p1_pieces": p1_pieces, "p1_rebuilt": p1_rebuilt, "p3_found": p3_found, "p3_share": p3_share, "p4_found": p4_found, "p4_restored": p4_restored, "p5_found": p5_found, "p5_repaired": p5_repaired, "p6_found": p6_found, "p6_clean": p6_clean, "p7_ids": p7_ids, "p7_rebuilt": p7_rebuilt, "p8_found": p8_found, "p8_leaks": p8_leaks, "p9_found": p9_found, "p9_groups": p9_groups, "p9_normalised": p9_normalised}
 SQL = oracles.SQL

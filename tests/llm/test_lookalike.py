@@ -63,3 +63,8 @@ def test_forms_by_whole_translation(text):
         else:
             want = unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", mapped).casefold())
         assert form(text) == " ".join(want.split())
+
+
+def test_membership(spark):
+    df = spark.createDataFrame([(1, "ação", 0), (2, "ac\u0327a\u0303o", 0), (3, "outro", 0), (4, "outro", 0), (5, "ação\u200b", 0), (6, None, 0)], "doc_id int, text string, representative int")
+    assert sorted(map(tuple, lookalike.membership(df, "doc_id", "text").collect())) == [(1, 1), (2, 1), (5, 1)]
