@@ -17,6 +17,8 @@ WS = r"[\p{IsWhite_Space}\x1c-\x1f]"
 _LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 #: Entities decoded by the native form, '&amp;' last so that nothing is decoded twice.
 ENTITIES = {"&copy;": "©", "&middot;": "·", "&ordm;": "º", "&ccedil;": "ç", "&atilde;": "ã", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\xa0", "&amp;": "&"}
+#: Fixed value: how the public byte_bpe vocabularies split a text before their merges.
+TOKEN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _MARK = "\x01"
 
 

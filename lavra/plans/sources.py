@@ -16,9 +16,8 @@ from lavra.functions import text
 from lavra.session import ensure_checkpoint_dir, read_table
 from lavra.sources import archives, files, store
 
-#: Folder of the public vocabulary files, and how they split a text before merging.
+#: Folder of the public vocabulary files.
 TOKENIZERS = os.environ.get("LAVRA_TOKENIZERS", "/opt/tokenizers")
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def _zipped(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,7 +60,7 @@ def file_scan(spark: SparkSession, base: str) -> DataFrame:
 
 
 def token_count(spark: SparkSession, base: str) -> DataFrame:
-    count = text.token_counter(f"{TOKENIZERS}/byte_bpe_50k.tiktoken", PATTERN)
+    count = text.token_counter(f"{TOKENIZERS}/byte_bpe_50k.tiktoken", text.TOKEN_PATTERN)
     return read_table(spark, base, "documents").select("doc_id", count(F.col("text")).alias("tokens_byte_bpe_50k"))
 
 
