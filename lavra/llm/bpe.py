@@ -21,9 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Fixed value: how the public byte_bpe vocabularies split a text before their merges.
-WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
+from lavra.functions.text import TOKEN_PATTERN
 
 def read_ranks(path: str) -> bytes:
     """The bytes of a rank file: one base64 token and its id per line. Below 1 MB for 50,000 tokens."""
@@ -34,7 +32,7 @@ def read_ranks(path: str) -> bytes:
 class Replay:
     """Merge replay over blocks of words, for one vocabulary."""
 
-    def __init__(self, ranks: bytes, pattern: str = WORD_PATTERN, memo_words: int = 500_000):
+    def __init__(self, ranks: bytes, pattern: str = TOKEN_PATTERN, memo_words: int = 500_000):
         rows = [line.split() for line in ranks.splitlines() if line.strip()]
         self.id_of = {base64.b64decode(a): int(b) for a, b in rows}
         self.token_of = {b: a for a, b in self.id_of.items()}
@@ -114,7 +112,7 @@ def _replay(ranks: bytes, pattern: str) -> Replay:
     return Replay(ranks, pattern)
 
 
-def encode(df: DataFrame, text: str, ranks_path: str, pattern: str = WORD_PATTERN) -> DataFrame:
+def encode(df: DataFrame, text: str, ranks_path: str, pattern: str = TOKEN_PATTERN) -> DataFrame:
     """``df`` with the text replaced by ``ids array<int>``, without special tokens.
 
     Null and empty texts both have the empty list; text that looks like a special token is plain text. A
@@ -139,7 +137,7 @@ def decode(ids: str, ranks_path: str):
 
     @F.pandas_udf(T.StringType())
     def text(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token_of = _replay(ranks.value, WORD_PATTERN).token_of
+        token_of = _replay(ranks.value, TOKEN_PATTERN).token_of
         for s in blocks:
             yield pd.Series([None if x is None else b"".join(token_of[i] for i in x).decode("utf-8", "replace") for x in s], dtype=object)
 
