@@ -21,7 +21,7 @@ def reference():
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
-    return tiktoken.Encoding("own", pat_str=bpe.WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=bpe.TOKEN_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 @settings(max_examples=200, deadline=None)
