@@ -50,6 +50,8 @@ READ = ("cp1252", "latin-1", "cp850", "cp437", "mac_roman", "cp1250", "iso8859-2
 #: Signs that scanning reads for letters; in text they are weaker evidence of a wrong encoding.
 MISREAD = str.maketrans({"ä": "ã", "ë": "é", "ö": "õ", "¢": "ç"})
 SMOOTH, SYMBOLS = 0.05, 300
+#: Share of damage among signs that nobody writes beside a letter, ten times that of other signs.
+UNLIKELY = 0.1
 RESULT = T.StructType(
     [T.StructField("damaged", T.BooleanType()), T.StructField("cipher", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("restored", T.StringType()), T.StructField("unresolved", T.IntegerType())]
 )
@@ -140,6 +142,11 @@ def fold(ch: str) -> str:
     return ch
 
 
+def _unwritten(left: str, run: str, right: str) -> bool:
+    """A control character or a piece of a box beside a letter."""
+    return (left.isalpha() or right.isalpha()) and any("\x80" <= ch <= "\x9f" or "\u2500" <= ch <= "\u259f" for ch in run)
+
+
 def _known(ch: str) -> str:
     """Characters outside the code pages share one symbol in the bigram table."""
     return ch if ch in ALPHABET else "￿"
@@ -221,7 +228,8 @@ class Model:
             misread = run.translate(MISREAD) if scanned else run
             slip = max(0.0, self.fit(left, misread, right) - self.fit(left, run, right)) if misread != run else 0.0
             each = [(k, gain - slip) for k, (gain, _) in self.gains(left, run, right).items()]
-            top, best = max(((gain + self.prior(k), k) for k, gain in each), default=(-math.inf, None))
+            damaged = UNLIKELY if _unwritten(left, run, right) else Model.damaged
+            top, best = max(((gain + self.prior(k, damaged), k) for k, gain in each), default=(-math.inf, None))
             got = self._weighed[key] = (top, best, each)
         return got
 
@@ -517,9 +525,10 @@ def diagnose(model: Model, value: str, learnt: Learnt | None = None, scanned: bo
         nonlocal unresolved
         left, run, right = fold(m[1]), m[2], fold(m[3])
         plain, top = run, 0.0
+        likelier = math.log(UNLIKELY / Model.damaged) if _unwritten(left, run, right) else 0.0
         for k, (gain, letters) in model.gains(left, run, right).items():
-            if gain + share[k] > top:
-                plain, top = letters, gain + share[k]
+            if gain + likelier + share[k] > top:
+                plain, top = letters, gain + likelier + share[k]
         if plain == run and solved:
             plain = _by_table(model, learnt, left, run, right) or run
         if main is not None:

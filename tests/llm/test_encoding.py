@@ -113,3 +113,7 @@ def test_a_guess_is_not_resolved_and_line_ends_do_not_matter(sample, spark):
     assert encoding.diagnose(model, "Di\ufffdrio n\ufffd 7")[4] == 2
     for t in ("prefeitura munic!pal, educaçäo e gestäo", "exercício e acórdäo"):
         assert encoding.diagnose(model, t)[0] == encoding.diagnose(model, t.replace(" ", "\n"))[0]
+
+
+def test_signs_that_nobody_writes_beside_a_letter():
+    assert encoding._unwritten("^", "╔", "r") and encoding._unwritten("^", "\x90", "r") and not encoding._unwritten(" ", "│", " ") and not encoding._unwritten("a", "ç", "o")
