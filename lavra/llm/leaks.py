@@ -326,8 +326,9 @@ def _by_joins(texts: DataFrame, key: str, items: DataFrame, rule: LeakRule) -> D
                 out.append(found[held.astype(bool)].view(np.int64))
             yield pd.Series(out, dtype=object)
 
-    found = texts.select(key, F.explode(text_runs("_t")).alias("run")).join(marks, "run").select(key, "item_id").distinct()
-    pairs = found.join(texts.distinct(), key).join(items, "item_id")
+    found = cut(texts.select(key, F.explode(text_runs("_t")).alias("run")).join(marks, "run").select(key, "item_id").distinct())
+    held = texts.join(found.select(key).distinct(), key, "left_semi").distinct()  # texts without a run are left out first
+    pairs = found.join(held, key).join(items, "item_id")
 
     @F.pandas_udf(HIT)
     def verify(ids: pd.Series, wanted: pd.Series, answers: pd.Series, given: pd.Series) -> pd.DataFrame:
